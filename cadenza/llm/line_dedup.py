@@ -49,15 +49,18 @@ def _places(units: Column, k: int) -> Column:
     return F.sequence(F.lit(1), F.greatest((F.octet_length(units) / 2).cast("int") - (k - 1), F.lit(1)))
 
 
-def jaccard(a: Column, b: Column) -> Column:
-    """Similarity of two arrays of different values."""
-    both = F.size(F.array_intersect(a, b))
-    return both / (F.size(a) + F.size(b) - both)
+def let(value: Column, use) -> Column:
+    """use(value) with value computed once, wherever the optimizer moves the expression."""
+    return F.transform(F.array(value), use)[0]
 
 
 def shingle_set(line: Column, k: int = SHINGLE) -> Column:
-    units = _units(line)
-    return F.array_distinct(F.transform(_places(units, k), lambda i: _shingle(units, i, k)))
+    return let(_units(line), lambda u: F.array_distinct(F.transform(_places(u, k), lambda i: _shingle(u, i, k))))
+
+
+def jaccard(a: Column, b: Column) -> Column:
+    """Similarity of two arrays of different values."""
+    return let(a, lambda x: let(b, lambda y: let(F.size(F.array_intersect(x, y)), lambda n: n / (F.size(x) + F.size(y) - n))))
 
 
 def distinct_lines(docs: DataFrame) -> DataFrame:
@@ -83,8 +86,7 @@ def verify(pairs: DataFrame, lines: DataFrame, k: int, threshold: float) -> Data
     text = lines.select("line_id", "line")
     a = pairs.join(text.select(F.col("line_id").alias("u"), F.col("line").alias("a")), "u")
     both = a.join(text.select(F.col("line_id").alias("v"), F.col("line").alias("b")), "v")
-    sets = both.select("u", "v", shingle_set(F.col("a"), k).alias("a"), shingle_set(F.col("b"), k).alias("b"))
-    return sets.where(jaccard(F.col("a"), F.col("b")) >= threshold).select("u", "v")
+    return both.where(jaccard(shingle_set(F.col("a"), k), shingle_set(F.col("b"), k)) >= threshold).select("u", "v")
 
 
 def similar_lines(lines: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -151,7 +153,7 @@ def dedup_lines(docs: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD,
     out = base.join(gone, base["doc_id"].eqNullSafe(gone["__d"]) & (base["__t"] == gone["__h"]), "left")
     parts = F.split("text", "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__gone"))
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(parts, i)), "\n"))
+    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(let(parts, lambda p: F.array_join(F.transform(left, lambda i: F.get(p, i)), "\n")))
     cols = [text.alias("text") if c == "text" else F.col(c) for c in docs.columns if c not in ("n_lines", "n_removed")]
     n = F.when(F.col("text").isNull(), 0).otherwise(F.size(parts))
     return out.select(*cols, n.cast("long").alias("n_lines"), F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_removed"))
