@@ -8,10 +8,9 @@ verified links form components by distributed union-find, and each component kee
 first line. DataFrame functions only.
 
 Within a band's bucket not all pairs are made. Every line is compared with the bucket's
-most copied line and with its first one; components are formed; after that only lines of
-one bucket that are still in different components are compared, all of them. So no link
-between components is lost, and a bucket of thousands of versions of one line costs a few
-comparisons for each.
+most copied line; components are formed; after that only lines of one bucket that are still
+in different components are compared, all of them. So no link between components is lost,
+and a bucket of thousands of versions of one line costs a comparison for each.
 """
 
 from __future__ import annotations
@@ -22,8 +21,13 @@ from pyspark.sql import functions as F
 from .common import connected_components, release, stash, unstash
 
 SHINGLE, THRESHOLD = 8, 0.8
-#: Bands and rows of the signature: a pair with similarity 0.8 is missed once in 200 times, one with 0.9 once in 40,000.
-BANDS, ROWS = 10, 4
+#: Least elements in a signature, as a square of GRID x GRID; bands are its rows, columns and
+#: diagonals (lines of the affine plane of order 4: no two bands share more than one value).
+#: A pair is missed only if all bands are hit by a difference: about once in a hundred times
+#: at similarity 0.8, once in several thousand at 0.9.
+GRID, CLASSES = 4, 4
+#: Bits of line_id below its count of copies.
+ID_BITS = 53
 
 
 def _points(n: int) -> list[int]:
@@ -63,80 +67,104 @@ def jaccard(a: Column, b: Column) -> Column:
     return let(a, lambda x: let(b, lambda y: let(F.size(F.array_intersect(x, y)), lambda n: n / (F.size(x) + F.size(y) - n))))
 
 
-def distinct_lines(docs: DataFrame) -> DataFrame:
-    """(line_id, key, line, first: struct<doc_id, hash, pos>, copies) of every different line
-    that is not blank, stored."""
-    lines = docs.select("doc_id", F.xxhash64("text").alias("hash"), F.posexplode(F.split("text", "\n")).alias("pos", "line")).where(F.trim("line") != "")
-    once = lines.groupBy(F.md5(F.col("line").cast("binary")).alias("key")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", "pos")).alias("first"), F.any_value("line").alias("line"), F.count("*").alias("copies"))
-    return stash(once.select(F.monotonically_increasing_id().alias("line_id"), "key", "line", "first", "copies"), "lines")
+def band_cells(grid: int = GRID, classes: int = CLASSES) -> list[list[int]]:
+    """Cells of each band: rows, columns, then lines of other slopes (in GF(4) for grid 4)."""
+    times = lambda a, b: [0, 0, 0, 0, 0, 1, 2, 3, 0, 2, 3, 1, 0, 3, 1, 2][4 * a + b] if grid == 4 else a * b % grid
+    plus = lambda a, b: a ^ b if grid == 4 else (a + b) % grid
+    out = [[grid * x + y for y in range(grid)] for x in range(grid)] if classes else []
+    for slope in range(classes - 1):
+        out += [[grid * x + plus(times(slope, x), c) for x in range(grid)] for c in range(grid)]
+    return out
+
+
+def _lines(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.xxhash64("text").alias("hash"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
 
 
-def buckets(lines: DataFrame, k: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(band, line_id, copies, units): one row for each line and band, stored."""
-    s = lines.select("line_id", "copies", _units(F.col("line")).alias("u"))
-    s = s.select("line_id", "copies", "u", F.explode(_places(F.col("u"), k)).alias("i")).select("line_id", "copies", (F.octet_length("u") / 2).cast("int").alias("units"), _shingle(F.col("u"), F.col("i"), k).alias("h"))
-    points = _points(bands * rows)
-    least = s.groupBy("line_id", "copies", "units").agg(*(F.min(F.col("h").bitwiseXOR(F.lit(p))).alias(f"s{j}") for j, p in enumerate(points)))
-    keys = F.array(*(F.xxhash64(F.lit(b), *(f"s{b * rows + r}" for r in range(rows))) for b in range(bands)))
-    return stash(least.select("line_id", "copies", "units", F.explode(keys).alias("band")), "bands")
+def _key(line: Column) -> Column:
+    return F.unhex(F.md5(line.cast("binary")))
 
 
-def verify(pairs: DataFrame, lines: DataFrame, k: int, threshold: float) -> DataFrame:
+def signatures(docs: DataFrame, k: int = SHINGLE, grid: int = GRID, classes: int = CLASSES) -> DataFrame:
+    """(line_id, key, first: struct<none, doc_id, hash, pos>, copies, bands: array<long>) of every
+    different line that is not blank, stored. A smaller line_id has more copies.
+
+    Equal lines meet in one shuffle; the shingles are made and reduced where they met.
+    """
+    lines = _lines(docs).where(F.trim("line") != "")
+    once = lines.groupBy(_key(F.col("line")).alias("key")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", "pos")).alias("first"), F.any_value("line").alias("line"), F.count("*").alias("copies"))
+    s = once.select("key", "first", "copies", _units(F.col("line")).alias("u"))
+    s = s.select("key", "first", "copies", "u", F.explode(_places(F.col("u"), k)).alias("i")).select("key", "first", "copies", _shingle(F.col("u"), F.col("i"), k).alias("h"))
+    least = s.groupBy("key", "first", "copies").agg(*(F.min(F.col("h").bitwiseXOR(F.lit(p))).alias(f"s{j}") for j, p in enumerate(_points(grid * grid))))
+    bands = F.array(*(F.xxhash64(F.lit(b), *(f"s{c}" for c in cells)) for b, cells in enumerate(band_cells(grid, classes))))
+    rank = F.shiftleft(1023 - F.least("copies", F.lit(1023)), ID_BITS)
+    return stash(least.select((rank + F.monotonically_increasing_id()).alias("line_id"), "key", "first", "copies", bands.alias("bands")), "line-signatures")
+
+
+def texts_of(wanted: DataFrame, lines: DataFrame, docs: DataFrame) -> DataFrame:
+    """(line_id, line) of the wanted line_ids, read from their first places, stored."""
+    at = lines.join(wanted.distinct(), "line_id", "left_semi").select("line_id", "first.doc_id", "first.hash", "first.pos")
+    key = lambda c: F.coalesce(c, F.lit(-(1 << 63)).cast("long")).alias("k")
+    places = at.groupBy(key(F.col("doc_id")), "hash").agg(F.collect_list(F.struct("line_id", "pos")).alias("p"))  # as many as a text has lines
+    found = docs.select(key(F.col("doc_id").cast("long")), F.xxhash64("text").alias("hash"), "text").join(places, ["k", "hash"])
+    picked = found.select(let(F.split("text", "\n"), lambda parts: F.transform("p", lambda x: F.struct(x["line_id"].alias("line_id"), F.get(parts, x["pos"]).alias("line")))).alias("t"))
+    return stash(picked.select(F.inline("t")).dropDuplicates(["line_id"]), "line-texts")
+
+
+def verify(pairs: DataFrame, text: DataFrame, k: int, threshold: float) -> DataFrame:
     """The pairs (u, v) of line_ids whose lines are similar enough."""
-    text = lines.select("line_id", "line")
     a = pairs.join(text.select(F.col("line_id").alias("u"), F.col("line").alias("a")), "u")
     both = a.join(text.select(F.col("line_id").alias("v"), F.col("line").alias("b")), "v")
     return both.where(jaccard(shingle_set(F.col("a"), k), shingle_set(F.col("b"), k)) >= threshold).select("u", "v")
 
 
-def similar_lines(lines: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def similar_lines(lines: DataFrame, docs: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
     """(line_id, root): lines in a component with another one, by the component's least line_id."""
-    b = buckets(lines, k, bands, rows)
-    hub = F.max(F.struct("copies", F.negate("line_id").alias("m")))
-    stats = b.groupBy("band").agg(F.count("*").alias("n"), F.min("line_id").alias("lo"), hub.alias("hub")).where("n > 1")
-    stats = stats.select("band", "n", "lo", F.negate(F.col("hub.m")).alias("hub"))
-    live = stash(b.join(stats, "band").select("band", "line_id", "n", "lo", "hub"), "buckets")
-    unstash(b)
-    release(lines.sparkSession)
-    ends = live.select("line_id", F.explode(F.array("lo", "hub")).alias("w"))
-    pairs = ends.select(F.least("line_id", "w").alias("u"), F.greatest("line_id", "w").alias("v")).where("u <> v").distinct()
-    links = stash(verify(pairs, lines, k, threshold), "star-links")
+    spark = lines.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    b = lines.select("line_id", F.explode("bands").alias("band")).repartition(n, "band")  # one exchange for both uses
+    stats = b.groupBy("band").agg(F.count("*").alias("n"), F.min("line_id").alias("hub")).where("n > 1")
+    live = stash(b.join(stats, "band").select("band", "line_id", "n", "hub"), "line-buckets")
+    release(spark)
+    pairs = live.where("line_id <> hub").select(F.col("hub").alias("u"), F.col("line_id").alias("v")).distinct()
+    text = texts_of(live.select("line_id"), lines, docs)
+    release(spark)
+    links = stash(verify(pairs, text, k, threshold), "star-links")
     roots = connected_components(links, "line-cc").select(F.col("node").alias("line_id"), "root")
-    rest = live.where("n > 2").join(roots, "line_id", "left").select("band", "line_id", F.coalesce("root", "line_id").alias("root"), "lo", "hub")
+    rest = live.where("n > 2").join(roots, "line_id", "left").select("band", "line_id", F.coalesce("root", "line_id").alias("root"), "hub")
     split = rest.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("band")
     open_ = stash(rest.join(split, "band"), "open-buckets")
     groups = open_.select("band", "root").distinct()
     across = groups.join(groups.withColumnRenamed("root", "other"), "band").where("root < other")
-    left = open_.select("band", "root", F.col("line_id").alias("x"), "lo", "hub")
+    left = open_.select("band", "root", F.col("line_id").alias("x"), "hub")
     right = open_.select("band", F.col("root").alias("other"), F.col("line_id").alias("y"))
-    more = across.join(left, ["band", "root"]).join(right, ["band", "other"]).where("x <> lo AND y <> lo AND x <> hub AND y <> hub")
+    more = across.join(left, ["band", "root"]).join(right, ["band", "other"]).where("x <> hub AND y <> hub")
     more = more.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
-    more = stash(verify(more, lines, k, threshold), "cross-links")
-    unstash(live)
+    more = stash(verify(more, text, k, threshold), "cross-links")
+    unstash(live, text, open_)
     if more.isEmpty():
         return roots
     return connected_components(links.union(more), "line-cc-2").select(F.col("node").alias("line_id"), "root")
 
 
-def removed_lines(docs: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def removed_lines(docs: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, hash, removed: array of line numbers from 0): lines that are not the first of
     their component, for every text that has any."""
     docs = docs.select("doc_id", "text").where("text IS NOT NULL")
-    lines = distinct_lines(docs)
+    lines = signatures(docs, k)
     release(docs.sparkSession)
-    roots = similar_lines(lines, k, threshold, bands, rows)
+    roots = similar_lines(lines, docs, k, threshold)
     named = lines.select("line_id", "key", "first", "copies").join(roots, "line_id", "left").withColumn("root", F.coalesce("root", "line_id"))
     firsts = named.groupBy("root").agg(F.min("first").alias("kept"), F.sum("copies").alias("all")).where("all > 1")
     marks = stash(named.join(firsts, "root").select("key", F.col("kept.doc_id").alias("kd"), F.col("kept.hash").alias("kh"), F.col("kept.pos").alias("kp")), "line-marks")
     unstash(lines)
     release(docs.sparkSession)
-    here = docs.select("doc_id", F.xxhash64("text").alias("hash"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    here = here.select("doc_id", "hash", "pos", F.md5(F.col("line").cast("binary")).alias("key"))
+    here = _lines(docs).select("doc_id", "hash", "pos", _key(F.col("line")).alias("key"))
     gone = here.join(marks, "key").where(~(F.col("doc_id").eqNullSafe(F.col("kd")) & (F.col("hash") == F.col("kh")) & (F.col("pos") == F.col("kp"))))
     return gone.groupBy("doc_id", "hash").agg(F.collect_set("pos").alias("removed"))  # as many as a text has lines
 
 
-def dedup_lines(docs: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def dedup_lines(docs: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
     """All columns of docs with text reduced to its kept lines, and n_lines, n_removed.
 
     Lines are what line feeds separate. A line is a near-duplicate of another if the Jaccard
@@ -147,7 +175,7 @@ def dedup_lines(docs: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD,
     one blank line. Equal rows are one document: they keep the same lines. A document all
     of whose lines go stays with an empty text.
     """
-    gone = removed_lines(docs, k, threshold, bands, rows)
+    gone = removed_lines(docs, k, threshold)
     gone = gone.select(F.col("doc_id").alias("__d"), F.col("hash").alias("__h"), F.col("removed").alias("__gone"))
     base = docs.drop("n_lines", "n_removed").withColumn("__t", F.xxhash64("text"))
     out = base.join(gone, base["doc_id"].eqNullSafe(gone["__d"]) & (base["__t"] == gone["__h"]), "left")
