@@ -26,6 +26,8 @@ SHINGLE, THRESHOLD = 8, 0.8
 #: A pair is missed only if all bands are hit by a difference: about once in a hundred times
 #: at similarity 0.8, once in several thousand at 0.9.
 GRID, CLASSES = 4, 4
+#: Words of 64 bits in a sketch; a power of two.
+WORDS = 32
 #: Bits of line_id below its count of copies.
 ID_BITS = 53
 
@@ -118,6 +120,32 @@ def verify(pairs: DataFrame, text: DataFrame, k: int, threshold: float) -> DataF
     return both.where(jaccard(shingle_set(F.col("a"), k), shingle_set(F.col("b"), k)) >= threshold).select("u", "v")
 
 
+def sketches(text: DataFrame, k: int = SHINGLE, words: int = WORDS) -> DataFrame:
+    """(line_id, n, w0, w1, ...: long): the number of different shingles of each line, and one
+    bit of 64 * words set for each by its hash. Columns, not an array: the join on them then
+    compiles to a few plain operations."""
+    s = text.select("line_id", shingle_set(F.col("line"), k).alias("s"))
+    s = s.select("line_id", F.size("s").alias("n"), F.explode("s").alias("h"))
+    at, bit = F.expr(f"cast(shiftright(h, 6) & {words - 1} AS int)"), F.expr("shiftleft(1L, cast(h & 63 AS int))")
+    return s.groupBy("line_id", "n").agg(*(F.coalesce(F.bit_or(F.when(at == j, bit).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long")).alias(f"w{j}") for j in range(words)))
+
+
+def across(members: DataFrame, sketch: DataFrame, threshold: float, words: int = WORDS) -> DataFrame:
+    """(u, v): pairs of one band and different roots that may be similar enough.
+
+    Bits in which two sketches differ each stand for a shingle that only one line has, so
+    they are no more than the sets' symmetric difference, which similarity t bounds by
+    (1 - t) / (1 + t) of both sizes. What is left out is certain not to be a link.
+    """
+    m = members.join(sketch, "line_id")
+    a = m.select("band", F.col("root").alias("ra"), F.col("line_id").alias("x"), F.col("n").alias("na"), *(F.col(f"w{j}").alias(f"a{j}") for j in range(words)))
+    b = m.select("band", F.col("root").alias("rb"), F.col("line_id").alias("y"), F.col("n").alias("nb"), *(F.col(f"w{j}").alias(f"b{j}") for j in range(words)))
+    most = f"{1 - threshold}D * (na + nb) + 0.000001D"
+    differ = " + ".join(f"bit_count(a{j} ^ b{j})" for j in range(words))
+    both = a.join(b, (a["band"] == b["band"]) & F.expr(f"ra < rb AND {1 + threshold}D * abs(na - nb) <= {most} AND {1 + threshold}D * ({differ}) <= {most}"))
+    return both.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
+
+
 def similar_lines(lines: DataFrame, docs: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
     """(line_id, root): lines in a component with another one, by the component's least line_id."""
     spark = lines.sparkSession
@@ -134,12 +162,7 @@ def similar_lines(lines: DataFrame, docs: DataFrame, k: int = SHINGLE, threshold
     rest = live.where("n > 2").join(roots, "line_id", "left").select("band", "line_id", F.coalesce("root", "line_id").alias("root"), "hub")
     split = rest.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("band")
     open_ = stash(rest.join(split, "band"), "open-buckets")
-    groups = open_.select("band", "root").distinct()
-    across = groups.join(groups.withColumnRenamed("root", "other"), "band").where("root < other")
-    left = open_.select("band", "root", F.col("line_id").alias("x"), "hub")
-    right = open_.select("band", F.col("root").alias("other"), F.col("line_id").alias("y"))
-    more = across.join(left, ["band", "root"]).join(right, ["band", "other"]).where("x <> hub AND y <> hub")
-    more = more.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
+    more = across(open_.where("line_id <> hub").drop("hub"), sketches(text.join(open_.select("line_id").distinct(), "line_id", "left_semi"), k), threshold)
     more = stash(verify(more, text, k, threshold), "cross-links")
     unstash(live, text, open_)
     if more.isEmpty():

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cadenza.llm import decontaminate, html_extract, line_dedup, nearest, pieces, simhash, substring_dedup, token_store, toxicity, url_filter
 from cadenza.llm.queries import ORACLE_SQL, QUERIES
@@ -177,3 +178,16 @@ def test_toxicity_held_out(spark):
     assert sum(held) / len(held) > 0.95 and all(0 <= r.score <= 1 for r in out)
     unknown = toxicity.score_texts(d, toxicity.train(d, labels.limit(0))).collect()
     assert all(r.score < 0.5 for r in unknown)
+
+
+def test_sketches_leave_out_no_similar_pair(spark):
+    rng, words = random.Random(5), [f"w{i}x{i * 7 % 13}" for i in range(60)]
+    base = [rng.choice(words) for _ in range(50)]
+    lines = [" ".join(rng.choice(words) if rng.random() < i / 300 else w for w in base) for i in range(60)] + ["", "ab", "ab ab ab ab ab ab"]
+    sets = [{x[i : i + 8] for i in range(max(len(x) - 7, 1))} for x in lines]
+    text = spark.createDataFrame(list(enumerate(lines)), "line_id long, line string")
+    members = text.select(F.lit(1).alias("band"), "line_id", F.col("line_id").alias("root"))
+    found = {tuple(r) for r in line_dedup.across(members, line_dedup.sketches(text), 0.8).collect()}
+    pairs = {(i, j) for j in range(len(lines)) for i in range(j)}
+    similar = {(i, j) for i, j in pairs if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    assert similar and similar <= found and len(found) < len(pairs)
