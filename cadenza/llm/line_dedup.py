@@ -131,38 +131,41 @@ def sketches(text: DataFrame, k: int = SHINGLE, words: int = WORDS) -> DataFrame
 
 
 def across(members: DataFrame, sketch: DataFrame, threshold: float, words: int = WORDS) -> DataFrame:
-    """(u, v): pairs of one band and different roots that may be similar enough.
+    """(u, v): pairs of one band and different roots that may be similar enough, each from the
+    first of the bands it shares (only there, so the rows are not made once for each band).
 
     Bits in which two sketches differ each stand for a shingle that only one line has, so
     they are no more than the sets' symmetric difference, which similarity t bounds by
     (1 - t) / (1 + t) of both sizes. What is left out is certain not to be a link.
     """
     m = members.join(sketch, "line_id")
-    a = m.select("band", F.col("root").alias("ra"), F.col("line_id").alias("x"), F.col("n").alias("na"), *(F.col(f"w{j}").alias(f"a{j}") for j in range(words)))
-    b = m.select("band", F.col("root").alias("rb"), F.col("line_id").alias("y"), F.col("n").alias("nb"), *(F.col(f"w{j}").alias(f"b{j}") for j in range(words)))
+    a = m.select("band", F.col("root").alias("ra"), F.col("line_id").alias("x"), F.col("n").alias("na"), "nr", F.col("bands").alias("ba"), *(F.col(f"w{j}").alias(f"a{j}") for j in range(words)))
+    b = m.select("band", F.col("root").alias("rb"), F.col("line_id").alias("y"), F.col("n").alias("nb"), F.col("bands").alias("bb"), *(F.col(f"w{j}").alias(f"b{j}") for j in range(words)))
     most = f"{1 - threshold}D * (na + nb) + 0.000001D"
     differ = " + ".join(f"bit_count(a{j} ^ b{j})" for j in range(words))
-    both = a.join(b, (a["band"] == b["band"]) & F.expr(f"ra < rb AND {1 + threshold}D * abs(na - nb) <= {most} AND {1 + threshold}D * ({differ}) <= {most}"))
-    return both.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
+    both = a.join(b, (a["band"] == b["band"]) & F.expr(f"ra < rb AND {1 + threshold}D * abs(na - nb) <= {most} AND {1 + threshold}D * ({differ}) <= {most} AND array_position(zip_with(ba, bb, (p, q) -> p = q), true) = nr + 1"))
+    return both.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v"))
 
 
 def similar_lines(lines: DataFrame, docs: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
     """(line_id, root): lines in a component with another one, by the component's least line_id."""
     spark = lines.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    b = lines.select("line_id", F.explode("bands").alias("band")).repartition(n, "band")  # one exchange for both uses
+    b = lines.select("line_id", F.posexplode("bands").alias("nr", "band")).repartition(n, "band")  # one exchange for both uses
     stats = b.groupBy("band").agg(F.count("*").alias("n"), F.min("line_id").alias("hub")).where("n > 1")
-    live = stash(b.join(stats, "band").select("band", "line_id", "n", "hub"), "line-buckets")
+    live = stash(b.join(stats, "band").select("band", "nr", "line_id", "n", "hub"), "line-buckets")
     release(spark)
     pairs = live.where("line_id <> hub").select(F.col("hub").alias("u"), F.col("line_id").alias("v")).distinct()
     text = texts_of(live.select("line_id"), lines, docs)
     release(spark)
     links = stash(verify(pairs, text, k, threshold), "star-links")
     roots = connected_components(links, "line-cc").select(F.col("node").alias("line_id"), "root")
-    rest = live.where("n > 2").join(roots, "line_id", "left").select("band", "line_id", F.coalesce("root", "line_id").alias("root"), "hub")
+    rest = live.where("n > 2").join(roots, "line_id", "left").select("band", "nr", "line_id", F.coalesce("root", "line_id").alias("root"), "hub")
     split = rest.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("band")
     open_ = stash(rest.join(split, "band"), "open-buckets")
-    more = across(open_.where("line_id <> hub").drop("hub"), sketches(text.join(open_.select("line_id").distinct(), "line_id", "left_semi"), k), threshold)
+    ids = open_.select("line_id").distinct()
+    drawn = sketches(text.join(ids, "line_id", "left_semi"), k).join(lines.join(ids, "line_id", "left_semi").select("line_id", "bands"), "line_id")
+    more = across(open_.where("line_id <> hub").drop("hub"), drawn, threshold)
     more = stash(verify(more, text, k, threshold), "cross-links")
     unstash(live, text, open_)
     if more.isEmpty():

@@ -186,8 +186,11 @@ def test_sketches_leave_out_no_similar_pair(spark):
     lines = [" ".join(rng.choice(words) if rng.random() < i / 300 else w for w in base) for i in range(60)] + ["", "ab", "ab ab ab ab ab ab"]
     sets = [{x[i : i + 8] for i in range(max(len(x) - 7, 1))} for x in lines]
     text = spark.createDataFrame(list(enumerate(lines)), "line_id long, line string")
-    members = text.select(F.lit(1).alias("band"), "line_id", F.col("line_id").alias("root"))
-    found = {tuple(r) for r in line_dedup.across(members, line_dedup.sketches(text), 0.8).collect()}
+    bands = F.array(F.col("line_id") + 100, F.lit(1).cast("long"), F.lit(2).cast("long"))
+    members = text.select("line_id", F.col("line_id").alias("root"), F.posexplode(bands).alias("nr", "band"))
+    rows = line_dedup.across(members, line_dedup.sketches(text).join(text.select("line_id", bands.alias("bands")), "line_id"), 0.8).collect()
+    found = {tuple(r) for r in rows}
+    assert len(found) == len(rows)
     pairs = {(i, j) for j in range(len(lines)) for i in range(j)}
     similar = {(i, j) for i, j in pairs if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
     assert similar and similar <= found and len(found) < len(pairs)
