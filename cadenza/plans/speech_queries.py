@@ -61,6 +61,13 @@ def cer_adjacent_turns(spark, sf_dir):
     return t.select("conv_id", "turn", F.levenshtein("a", "b").alias("distance"), six(X.error_rate(F.col("a"), F.col("b"))).alias("cer"))
 
 
+@query()
+def cer_all_adjacent_turns(spark, sf_dir):
+    """Every pair, however long: cer_adjacent_turns has only the rows its SQL asks for."""
+    t = _pairs(spark, sf_dir).select("conv_id", "turn", X.normalized_text(F.col("text")).alias("a"), X.normalized_text(F.col("next")).alias("b"))
+    return t.select("conv_id", "turn", F.levenshtein("a", "b").alias("distance"), six(X.error_rate(F.col("a"), F.col("b"))).alias("cer"))
+
+
 @query(f"SELECT doc_id, CAST(length({NORMAL.format('text')}) AS INTEGER) AS n, md5({NORMAL.format('text')}) AS digest FROM documents")
 def normalized_text(spark, sf_dir):
     n = X.normalized_text(F.col("text"))
