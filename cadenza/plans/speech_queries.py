@@ -349,8 +349,8 @@ def _stand_in(spark, sf_dir) -> DataFrame:
     keep = {"sample_rate": "48000", "channels": "1", "duration_seconds": "CAST(turn AS DOUBLE)", "clipping_fraction": "0.0D", "rms_db": "-22.0D"}
     ac = F.from_json(F.to_json(F.struct(*(F.expr(v).alias(k) for k, v in keep.items()))), evaluate.ACOUSTIC)
     return p.select(
-        F.format_string("%d-%d", "conv_id", "turn").alias("segment_id"), F.substring("text", 1, 240).alias("target_text"), F.lit("").alias("audio_path"), F.lit(0).cast("long").alias("seed"),
-        F.substring("next", 1, 240).alias("recognized_text"), F.slice(stamps, 1, 400).alias("timestamps_ms"), ac.alias("acoustic"), F.lit(None).cast("string").alias("raw"),
+        F.format_string("%d-%d", "conv_id", "turn").alias("segment_id"), F.col("text").alias("target_text"), F.lit("").alias("audio_path"), F.lit(0).cast("long").alias("seed"),
+        F.col("next").alias("recognized_text"), stamps.alias("timestamps_ms"), ac.alias("acoustic"), F.lit(None).cast("string").alias("raw"),
         F.when(F.col("turn") % 11 == 3, "failed").alias("error"), F.lit(None).cast("string").alias("traceback"),
     )
 
