@@ -155,12 +155,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fps.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Documents without all but one of each near-duplicate group (the smallest doc_id; of
-    repeated rows of that id one). Rows with a null id are kept only if the group has no other."""
-    found = near_duplicates(docs, id_col, text_col).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(found, docs[id_col].eqNullSafe(found["doc_id"]), "left_semi").dropDuplicates([id_col])
-
-
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
