@@ -12,24 +12,23 @@ log-likelihood, normalised by length, together with the strongest of these diffe
 a long text may hold few toxic expressions; a logistic curve fitted on a fold that the
 counts have not seen turns both into a probability.
 
-Counts live in a fixed number of slots (hashed expressions): the model that is broadcast
-has a proven size, while what is counted grows with the labelled documents.
+Counts are a table with a row for each expression (keyed by the 64-bit hash of the whole
+word), joined to the documents' expressions by key; nothing is broadcast that grows.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_rows, process_memory, small_batches, stash, unstash
+from .common import map_rows, process_memory, stash, unstash
 
-SLOTS = 1 << 20
+#: Parts that each expression of the model is dealt out to, so frequent ones meet in many tasks.
+SALTS = 8
 DISCOUNT = 3.0
 #: Labelled rows of the calibration fold that the curve is fitted on at most, by a hash of the id.
 CALIBRATION_ROWS = 20_000
@@ -61,60 +60,65 @@ def hashes(text: str | None) -> np.ndarray:
     return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
-def count(labelled: DataFrame, slots: int) -> tuple[np.ndarray, np.ndarray]:
-    """Documents with each expression by class (2 x slots), and continuation counts (slots).
+def count(labelled: DataFrame) -> DataFrame:
+    """(w, a, b, n) of every expression: ordinary and toxic documents with it, and its
+    continuation count; stored. labelled: (text, toxic). Batches add up their rows first."""
 
-    labelled: (text, toxic). Tasks add up their rows before the shuffle.
-    """
-    small_batches(labelled.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, slots), np.int64)
-        for b in batches:
-            pairs = []
-            for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                h = hashes(text)
-                s = (h % np.uint64(slots)).astype(np.int64)
-                counts[int(toxic)][np.unique(s)] += 1
-                left = np.concatenate([np.zeros(1, np.uint64), h[:-1]])
-                pairs.append((s << 32) | (left >> np.uint64(32)).astype(np.int64))
-            yield batch(np.unique(np.concatenate(pairs)), None, None)
-        used = np.flatnonzero(counts.any(axis=0))
-        yield batch(used, counts[0][used], counts[1][used])
-
-    def batch(key: np.ndarray, ordinary: np.ndarray | None, toxic: np.ndarray | None) -> pa.RecordBatch:
-        none = pa.nulls(len(key), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), none if ordinary is None else pa.array(ordinary), none if toxic is None else pa.array(toxic)], ["key", "ordinary", "toxic"])
-
-    rows = stash(labelled.mapInArrow(run, "key long, ordinary long, toxic long"), "toxic-counts")
-    by_class = rows.where("toxic IS NOT NULL").groupBy(F.col("key").alias("slot")).agg(F.sum("ordinary").alias("a"), F.sum("toxic").alias("b"))
-    after = rows.where("toxic IS NULL").select("key").distinct().groupBy(F.shiftright("key", 32).alias("slot")).agg(F.count("*").alias("n"))
-    counts, follow = np.zeros((2, slots)), np.zeros(slots)
-    table = by_class.join(after, "slot", "full_outer").na.fill(0).toPandas()  # at most one row for each slot
-    counts[0][table["slot"]], counts[1][table["slot"]], follow[table["slot"]] = table["a"], table["b"], table["n"]
-    unstash(rows)
-    return counts, follow
-
-
-def differences(counts: np.ndarray, follow: np.ndarray, discount: float) -> np.ndarray:
-    """log P_toxic - log P_ordinary of every slot."""
-    shared = (follow + 1 / len(follow)) / (follow.sum() + 1)
-    logs = []
-    for c in counts:
-        total = max(c.sum(), 1.0)
-        back = np.minimum(c, discount).sum() / total if c.any() else 1.0
-        logs.append(np.log(np.maximum(c - discount, 0) / total + back * shared))
-    return (logs[1] - logs[0]).astype(np.float32)
-
-
-def features(text: str | None, gain: np.ndarray, strongest: int = STRONGEST) -> tuple[float, float]:
-    """The mean difference over a text's different expressions, and the mean of the strongest."""
-    s = np.unique((hashes(text) % np.uint64(len(gain))).astype(np.int64))
-    if not len(s):
-        return 0.0, 0.0
-    g = gain[s].astype(np.float64)
-    top = np.sort(g)[-strongest:]
-    return float(g.mean()), float(np.maximum(top, 0).sum() / strongest)
+    def classes(cols: dict) -> dict:
+        sets = [np.unique(hashes(t)) for t in cols["text"].to_pylist()]
+        toxic = np.repeat(np.array(cols["toxic"].to_pylist(), np.int64), [len(x) for x in sets])
+        w, at = np.unique(np.concatenate(sets), return_inverse=True)
+        b = np.bincount(at, toxic, len(w)).astype(np.int64)
+        return {"w": w.view(np.int64), "a": np.bincount(at, minlength=len(w)) - b, "b": b}
+
+    def pairs(cols: dict) -> dict:
+        rows = [(h, np.concatenate([np.zeros(1, np.uint64), h[:-1]])) for h in map(hashes, cols["text"].to_pylist()) if len(h)]
+        if not rows:
+            return {"w": [], "before": []}
+        both = np.empty(sum(len(h) for h, _ in rows), [("w", np.uint64), ("before", np.uint64)])
+        both["w"], both["before"] = np.concatenate([h for h, _ in rows]), np.concatenate([x for _, x in rows])
+        both = np.unique(both)
+        return {"w": both["w"].view(np.int64).copy(), "before": both["before"].view(np.int64).copy()}
+
+    by_class = map_rows(labelled, "w long, a long, b long", classes).groupBy("w").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    after = map_rows(labelled, "w long, before long", pairs).distinct().groupBy("w").agg(F.count("*").alias("n"))
+    return stash(by_class.join(after, "w"), "toxic-counts")
+
+
+def differences(counts: DataFrame, discount: float) -> tuple[DataFrame, float]:
+    """(w, gain = log P_toxic - log P_ordinary) of the expressions that a class has seen more
+    than ``discount`` times, and the one difference that all others have, unseen ones too."""
+    low = lambda c: F.sum(F.least(F.col(c).cast("double"), F.lit(discount)))
+    zero = F.lit(0)
+    sums = counts.agg(F.count("*").alias("v"), *(F.coalesce(x, zero).cast("double").alias(n) for n, x in {"n": F.sum("n"), "a": F.sum("a"), "b": F.sum("b"), "la": low("a"), "lb": low("b")}.items())).first()
+    shared = (F.col("n") + 1 / max(sums["v"], 1)) / (sums["n"] + 1)
+
+    def back(c: str) -> float:
+        return sums[f"l{c}"] / sums[c] if sums[c] else 1.0
+
+    def log(c: str) -> Column:
+        return F.log(F.greatest(F.col(c) - discount, F.lit(0.0)) / max(sums[c], 1.0) + back(c) * shared)
+
+    return counts.where((F.col("a") > discount) | (F.col("b") > discount)).select("w", (log("b") - log("a")).alias("gain")), float(np.log(back("b")) - np.log(back("a")))
+
+
+def features(docs: DataFrame, table: DataFrame, other: float, text_col: str = "text", strongest: int = STRONGEST) -> DataFrame:
+    """(t: hash of the text, mean, top) of every different text that has words: the mean
+    difference over its different expressions, and the mean of the strongest."""
+
+    def run(cols: dict) -> dict:
+        sets = [np.unique(hashes(t)) for t in cols["text"].to_pylist()]
+        t = cols["t"].to_numpy(zero_copy_only=False)
+        return {"t": np.repeat(t, [len(x) for x in sets]), "w": np.concatenate(sets).view(np.int64)}
+
+    found = map_rows(docs.select(F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text")), "t long, w long", run)
+    found = found.withColumn("salt", F.pmod("t", F.lit(SALTS)).cast("int"))
+    dealt = table.select("w", "gain", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    gained = found.join(dealt, ["w", "salt"], "left").select("t", "w", F.coalesce("gain", F.lit(other)).alias("gain"))
+    # a set with the expression: equal texts give the same rows
+    best = F.collect_set(F.when(F.col("gain") > 0, F.struct("gain", "w")))  # as many as a text has expressions
+    out = gained.groupBy("t").agg(F.avg("gain").alias("mean"), best.alias("best"))
+    return out.select("t", "mean", F.aggregate(F.slice(F.sort_array("best", asc=False), 1, strongest), F.lit(0.0), lambda x, y: x + y["gain"]).alias("sum")).select("t", "mean", (F.col("sum") / strongest).alias("top"))
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float = 1e-2) -> np.ndarray:
@@ -130,8 +134,8 @@ def fit_curve(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float = 1e-
     return w
 
 
-def train(docs: DataFrame, labels: DataFrame, slots: int = SLOTS, discount: float = DISCOUNT, rows: int = CALIBRATION_ROWS, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, np.ndarray]:
-    """(differences by slot, weights of the curve), from labelled rows that are not held out.
+def train(docs: DataFrame, labels: DataFrame, discount: float = DISCOUNT, rows: int = CALIBRATION_ROWS, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, float, np.ndarray]:
+    """(differences, that of all other expressions, weights of the curve), from labelled rows that are not held out.
 
     Folds 1 to 3 are counted, all of them; fold 4 calibrates. Equal texts count once, with
     the label that most of them have, so a group of copies doesn't speak for itself alone.
@@ -143,35 +147,31 @@ def train(docs: DataFrame, labels: DataFrame, slots: int = SLOTS, discount: floa
     once = marks.groupBy("h", "g").agg(F.min("doc_id").alias("doc_id"), F.round(F.avg("toxic")).cast("int").alias("toxic")).select("doc_id", "toxic")
     once = stash(once, "toxic-labels")
     rest = texts.join(once, "doc_id").dropDuplicates(["doc_id"])
-    counts, follow = count(rest.where(fold() != 4).select("text", "toxic"), slots)
-    gain = differences(counts, follow, discount)
-    shared = docs.sparkSession.sparkContext.broadcast(gain)
+    table, other = differences(count(rest.where(fold() != 4).select("text", "toxic")), discount)
+    table = stash(table, "toxic-model")
     few = texts.join(once.where(fold() == 4).orderBy(F.xxhash64("doc_id")).limit(rows), "doc_id").dropDuplicates(["doc_id"])
+    few = stash(few.select("text", "toxic"), "toxic-curve")
+    sample = _with_features(few, (table, other), "text").select("mean", "top", "toxic").toPandas()  # at most ``rows`` rows
+    unstash(once, few)
+    if sample["toxic"].nunique() < 2:
+        return table, other, np.array([0.0, 0.0, -1.0])
+    return table, other, fit_curve(sample[["mean", "top"]].to_numpy(), sample["toxic"].to_numpy(float))
 
-    def run(cols: dict) -> dict:
-        f = [features(t, shared.value) for t in cols["text"].to_pylist()]
-        return {"a": [x for x, _ in f], "b": [x for _, x in f], "toxic": cols["toxic"]}
 
-    sample = map_rows(few.select("text", "toxic"), "a double, b double, toxic int", run).toPandas()  # at most ``rows`` rows
-    unstash(once)
-    if sample["toxic"].nunique() < 2:
-        return gain, np.array([0.0, 0.0, -1.0])
-    return gain, fit_curve(sample[["a", "b"]].to_numpy(), sample["toxic"].to_numpy(float))
+def _with_features(docs: DataFrame, model: tuple[DataFrame, float], text_col: str) -> DataFrame:
+    found = features(docs, *model, text_col)
+    return docs.withColumn("t", F.xxhash64(text_col)).join(found, "t", "left").na.fill(0.0, ["mean", "top"])
 
 
-def score_texts(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text_col: str = "text", score_col: str = "score") -> DataFrame:
+def score_texts(docs: DataFrame, model: tuple[DataFrame, float, np.ndarray], text_col: str = "text", score_col: str = "score") -> DataFrame:
     """Adds score double (0 to 1) from the whole text; null and empty texts get the score of
     no evidence. Other columns stay and are no inputs."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # one float for each slot
+    table, other, w = model
     rest = [c for c in docs.columns if c != score_col]
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-
-    def run(cols: dict) -> dict:
-        gain, w = shared.value
-        f = np.array([[*features(t, gain), 1.0] for t in cols[text_col].to_pylist()])
-        return {c: cols[c] for c in rest} | {score_col: 1 / (1 + np.exp(-np.clip(f @ w, -30, 30)))}
-
-    return map_rows(docs.select(*rest), ", ".join(f"`{c}` {kinds[c]}" for c in rest) + f", `{score_col}` double", run)
+    found = features(docs, table, other, text_col).select(F.col("t").alias("__t"), F.col("mean").alias("__mean"), F.col("top").alias("__top"))
+    z = F.coalesce("__mean", F.lit(0.0)) * float(w[0]) + F.coalesce("__top", F.lit(0.0)) * float(w[1]) + float(w[2])
+    score = 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))))
+    return docs.select(*rest, F.xxhash64(text_col).alias("__t")).join(found, "__t", "left").select(*rest, score.alias(score_col))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
