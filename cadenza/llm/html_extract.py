@@ -31,6 +31,20 @@ CONTENT = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|post|story
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)|[^<]+|<""", re.S)
 ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=\s|/|$)""", re.I)
 
+#: A layout's property, not the element's kind: has-sidebar, with-nav.
+LAYOUT = re.compile(r"(?:^|(?<=[\s_-]))(?:has|with|no|without)[_-][^\s_-]+", re.I)
+CONTENT_NAMES = frozenset("article content entry main post story".split())
+
+
+def _furniture(tag: str, value: str, inside: bool) -> bool:
+    """Whether a class or id names page furniture; a content word of its own and the header of an article win."""
+    value = LAYOUT.sub("", value)
+    if tag in ("article", "main") and not re.search("comment|repl|promo|ad", value, re.I):
+        return False
+    if inside and (tag == "header" or tag in HEADINGS):
+        value = re.sub(r"(?:^|(?<=[\s_-]))(?:header|masthead)(?=$|[\s_-])", "", value, flags=re.I)
+    return bool(FURNITURE.search(value)) and CONTENT_NAMES.isdisjoint(value.lower().split())
+
 
 class Node:
     __slots__ = ("block", "bonus", "chars", "commas", "dropped", "h1", "links", "link_chars", "parent", "points", "tag")
@@ -46,7 +60,7 @@ class Node:
         return (self.points + self.bonus) * (1 - self.density())
 
 
-def _attributes(tag: str, text: str, inside: bool) -> tuple[bool, float]:
+def _attributes(tag: str, text: str, inside: bool, names: bool = True) -> tuple[bool, float]:
     """Whether an element is furniture, and the bonus its names give."""
     dropped, bonus = tag in DROPPED or (tag == "header" and not inside), 0.0
     if text and "=" in text or "hidden" in text:
@@ -58,15 +72,16 @@ def _attributes(tag: str, text: str, inside: bool) -> tuple[bool, float]:
                 dropped |= value in ("navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu")
                 bonus += 25.0 * (value in ("main", "article"))
             elif name in ("class", "id") and tag not in ("html", "body"):
-                if FURNITURE.search(value) and not (tag in ("article", "main") and not re.search("comment|repl|promo|ad", value, re.I)):
+                if names and _furniture(tag, value, inside):
                     dropped = dropped or tag in BLOCK or tag == "span"
                 elif CONTENT.search(value):
                     bonus += 10.0
     return dropped, bonus + (25.0 if tag in ("article", "main") else 5.0 if tag in ("div", "section") else 0.0)
 
 
-def parse(page: str) -> list[tuple[str, int, Node]]:
-    """Blocks in page order: text, characters of it in links, the block's element."""
+def parse(page: str, names: bool = True) -> list[tuple[str, int, Node]]:
+    """Blocks in page order: text, characters of it in links, the block's element. Without
+    ``names``, class and id don't make an element furniture."""
     root = Node("#", None, False, 0.0)
     stack, blocks = [root], []
     buffer: list[str] = []
@@ -146,7 +161,7 @@ def parse(page: str) -> list[tuple[str, int, Node]]:
         if tag in VOID:
             continue
         up = stack[-1]
-        dropped, bonus = _attributes(tag, m[3] or m[6] or "", articles > 0)
+        dropped, bonus = _attributes(tag, m[3] or m[6] or "", articles > 0, names)
         stack.append(Node(tag, up, up.dropped or dropped, bonus))
         in_link += tag == "a"
         articles += tag in ("article", "main")
@@ -161,7 +176,7 @@ def parse(page: str) -> list[tuple[str, int, Node]]:
 
 def main_text(page: str | None) -> str:
     """The article's blocks, joined by two line feeds; empty for null or a page without any."""
-    blocks = parse(page) if page else []
+    blocks = (parse(page) or parse(page, names=False)) if page else []
     if not blocks:
         return ""
     for text, linked, node in blocks:
