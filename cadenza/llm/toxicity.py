@@ -30,6 +30,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,7 +42,9 @@ DISCOUNT = 3.0
 #: Labelled rows of the calibration fold that the curve is fitted on at most, by a hash of the id.
 CALIBRATION_ROWS = 20_000
 #: Entries that are broadcast, and bits of the broadcast filter of all keys (powers of two).
-HOT, FILTER_BITS = 1 << 17, 1 << 26
+HOT, FILTER_BITS = 1 << 20, 1 << 26
+#: Passes over the counted texts, each for its share of the pairs; the disk that pairs take is divided by it.
+SLICES = 2
 #: Strongest words that are averaged.
 STRONGEST = 2
 #: Words, and hashes of texts, that a worker remembers; pairs that a task adds up before they are sent.
@@ -87,9 +90,25 @@ def _pair_key(v: Column, w: Column) -> Column:
     return F.shiftleft(v, 21).bitwiseOR(F.shiftrightunsigned(v, 43)).bitwiseXOR(w)
 
 
-def count_pairs(labelled: DataFrame, flush: int = PAIRS) -> DataFrame:
-    """(v, w, a, b): ordinary and toxic texts that hold the neighbours v w; stored. labelled:
-    (text, toxic). A task adds up its rows before it sends them."""
+def bit_filter(keys: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
+    """A bit for the lowest bits of each key (a column ``key``), as numbers of 64 bits."""
+    place = F.col("key").bitwiseAND(F.lit(bits - 1))
+    marks = keys.groupBy(F.shiftright(place, 6).alias("i")).agg(F.bit_or(F.expr("shiftleft(1L, cast(key & 63 AS int))")).alias("m")).toArrow()  # at most bits / 64 rows
+    out = np.zeros(bits // 64, np.uint64)
+    out[marks.column("i").to_numpy()] = marks.column("m").to_numpy().view(np.uint64)
+    return out
+
+
+def may_hold(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the filter may hold the keys; False is certain."""
+    place = keys & np.uint64(64 * len(known) - 1)
+    return known[(place >> np.uint64(6)).view(np.int64)] >> (place & np.uint64(63)) & np.uint64(1) == 1
+
+
+def count_pairs(labelled: DataFrame, part: int = 0, parts: int = 1, flush: int = PAIRS) -> DataFrame:
+    """(v, w, a, b): ordinary and toxic texts that hold the neighbours v w, for the pairs of one
+    of ``parts`` parts (a power of two). labelled: (text, toxic). A task adds up its rows
+    before it sends them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -99,8 +118,10 @@ def count_pairs(labelled: DataFrame, flush: int = PAIRS) -> DataFrame:
             held.clear()
             _, first, at = np.unique(pair_key(v, w), return_index=True, return_inverse=True)
             b = np.bincount(at, c, len(first)).astype(np.int64)
-            cols = {"v": v[first].view(np.int64), "w": w[first].view(np.int64), "a": np.bincount(at, minlength=len(first)) - b, "b": b}
-            return pa.RecordBatch.from_pydict(cols)
+            a = np.bincount(at, minlength=len(first)) - b
+            order = np.lexsort((v[first], w[first]))  # equal words side by side take less room
+            first = first[order]
+            return pa.RecordBatch.from_pydict({"v": v[first].view(np.int64), "w": w[first].view(np.int64), "a": a[order], "b": b[order]})
 
         for batch in batches:
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -108,34 +129,54 @@ def count_pairs(labelled: DataFrame, flush: int = PAIRS) -> DataFrame:
                 if not len(w):
                     continue
                 v = before(w)
-                first = np.unique(pair_key(v, w), return_index=True)[1]
+                keys, first = np.unique(pair_key(v, w), return_index=True)
+                first = first[keys >> np.uint64(40) & np.uint64(parts - 1) == part] if parts > 1 else first
                 held.append((v[first], w[first], np.full(len(first), toxic, np.int64)))
             if sum(len(x[0]) for x in held) >= flush:
                 yield out()
-        if held:
+        if sum(len(x[0]) for x in held):
             yield out()
 
     small_batches(labelled.sparkSession)
     rows = labelled.select("text", "toxic").mapInArrow(run, "v long, w long, a long, b long")
-    return stash(rows.groupBy("v", "w").agg(F.sum("a").cast("int").alias("a"), F.sum("b").cast("int").alias("b")), "toxic-pairs")
+    return rows.groupBy("v", "w").agg(F.sum("a").cast("int").alias("a"), F.sum("b").cast("int").alias("b"))
 
 
-def entries(pairs: DataFrame, discount: float = DISCOUNT) -> tuple[DataFrame, float]:
-    """(key, low, back, n) of every word and pair that a class has beyond the discount, and the
-    ``low`` of all other words.
+def gather(labelled: DataFrame, discount: float = DISCOUNT, parts: int = SLICES, flush: int = PAIRS) -> tuple[DataFrame, DataFrame]:
+    """(words, pairs), stored: of every word x the sums that the formulas need (ca, cb: counts
+    before any word, ma, mb: the discounted part of them, ua, ub, n: different words that
+    precede it, by class and in all), and (v, w, a, b) of the pairs beyond the discount."""
+    least = lambda c: F.least(F.col(c).cast("double"), F.lit(discount))
+    zero, null, none = F.lit(0), F.lit(None).cast("long"), F.lit(0.0)
+    names = ("x", "y", "ca", "cb", "ma", "mb", "ua", "ub", "n")
+    row = lambda *v: F.struct(*(c.alias(x) for c, x in zip(v, names, strict=True)))
+    a, b = F.col("a"), F.col("b")
+    both = F.array(row(F.col("v"), null, a, b, least("a"), least("b"), zero, zero, zero), row(F.col("w"), null, zero, zero, none, none, (a > 0).cast("int"), (b > 0).cast("int"), F.lit(1)))
+    pair = F.array(row(F.col("v"), F.col("w"), a, b, none, none, zero, zero, zero))
+    found = []
+    for i in range(parts):
+        counts = count_pairs(labelled, i, parts, flush)
+        rows = counts.select(F.inline(F.when((a > discount) | (b > discount), F.concat(both, pair)).otherwise(both)))
+        found.append(stash(rows.groupBy("x", "y").agg(*(F.sum(c).alias(c) for c in names[2:])), f"toxic-counts-{i}"))
+        release(labelled.sparkSession)
+    every = found[0]
+    for x in found[1:]:
+        every = every.union(x)
+    words = stash(every.where("y IS NULL").groupBy("x").agg(*(F.sum(c).alias(c) for c in names[2:])), "toxic-words")
+    pairs = stash(every.where("y IS NOT NULL").select(F.col("x").alias("v"), F.col("y").alias("w"), F.col("ca").alias("a"), F.col("cb").alias("b")), "toxic-pairs")
+    unstash(*found)
+    return words, pairs
+
+
+def entries(words: DataFrame, pairs: DataFrame, discount: float = DISCOUNT) -> tuple[DataFrame, float]:
+    """(key, low, back, n) of every word and pair that a class has beyond the discount, stored,
+    and the ``low`` of all other words.
 
     A word's low is log P_toxic(w) - log P_ordinary(w), its back that of the weights behind it;
     a pair's low is what its log-likelihoods differ by beyond those two. n orders by frequency.
     """
     least = lambda c: F.least(F.col(c).cast("double"), F.lit(discount))
-    none = F.lit(0)
-    roles = F.array(
-        F.struct(F.col("v").alias("x"), F.col("a").alias("ca"), F.col("b").alias("cb"), least("a").alias("ma"), least("b").alias("mb"), none.alias("ua"), none.alias("ub"), none.alias("n")),
-        F.struct(F.col("w").alias("x"), none.alias("ca"), none.alias("cb"), F.lit(0.0).alias("ma"), F.lit(0.0).alias("mb"), (F.col("a") > 0).cast("int").alias("ua"), (F.col("b") > 0).cast("int").alias("ub"), F.lit(1).alias("n")),
-    )
-    words = pairs.select(F.inline(roles)).groupBy("x").agg(*(F.sum(c).alias(c) for c in ("ca", "cb", "ma", "mb", "ua", "ub", "n")))
-    words = stash(words, "toxic-words")
-    sums = words.agg(F.count_if(F.col("n") > 0).alias("size"), *(F.coalesce(x, none).cast("double").alias(n) for n, x in {"n": F.sum("n"), "a": F.sum("ua"), "b": F.sum("ub"), "la": F.sum(least("ua")), "lb": F.sum(least("ub"))}.items())).first()
+    sums = words.agg(F.count_if(F.col("n") > 0).alias("size"), *(F.coalesce(x, F.lit(0)).cast("double").alias(n) for n, x in {"n": F.sum("n"), "a": F.sum("ua"), "b": F.sum("ub"), "la": F.sum(least("ua")), "lb": F.sum(least("ub"))}.items())).first()
     back0 = {c: sums[f"l{c}"] / sums[c] if sums[c] else 1.0 for c in "ab"}
     shared = (F.col("n") + 1 / max(sums["size"], 1)) / (sums["n"] + 1)
 
@@ -149,14 +190,11 @@ def entries(pairs: DataFrame, discount: float = DISCOUNT) -> tuple[DataFrame, fl
     differ = (F.log("pb") - F.log("pa")).alias("low"), (F.log("bb") - F.log("ba")).alias("back")
     beyond = (F.col("ua") > discount) | (F.col("ub") > discount) | (F.col("ba") < 1) | (F.col("bb") < 1)
     one = known.where(beyond).select(F.col("x").alias("key"), *differ, (F.col("ca") + F.col("cb")).alias("n"))
-    frequent = pairs.where((F.col("a") > discount) | (F.col("b") > discount))
-    both = frequent.join(known.select(F.col("x").alias("w"), "pa", "pb"), "w").join(known.select(F.col("x").alias("v"), "ca", "cb", "ba", "bb"), "v")
+    both = pairs.join(known.select(F.col("x").alias("w"), "pa", "pb"), "w").join(known.select(F.col("x").alias("v"), "ca", "cb", "ba", "bb"), "v")
     p = lambda c: F.greatest(F.col(c) - discount, F.lit(0.0)) / F.greatest(F.col(f"c{c}"), F.lit(1)) + F.col(f"b{c}") * F.col(f"p{c}")
     excess = F.log(p("b")) - F.log(p("a")) - (F.log("pb") - F.log("pa")) - (F.log("bb") - F.log("ba"))
-    two = both.select(_pair_key(F.col("v"), F.col("w")).alias("key"), excess.alias("low"), F.lit(0.0).alias("back"), (F.col("a") + F.col("b")).cast("long").alias("n"))
-    table = stash(one.union(two), "toxic-model")
-    unstash(words)
-    return table, float(np.log(back0["b"]) - np.log(back0["a"]))
+    two = both.select(_pair_key(F.col("v"), F.col("w")).alias("key"), excess.alias("low"), F.lit(0.0).alias("back"), (F.col("a") + F.col("b")).alias("n"))
+    return stash(one.union(two), "toxic-model"), float(np.log(back0["b"]) - np.log(back0["a"]))
 
 
 class Model:
@@ -166,10 +204,7 @@ class Model:
         spark = table.sparkSession
         self.table, self.other, self.weights = table.select("key", "low", "back"), other, np.array([0.0, 0.0, -1.0])
         top = table.orderBy(F.desc("n"), "key").limit(hot).select("key", "low", "back").toArrow()  # at most ``hot`` rows
-        place = F.col("key").bitwiseAND(F.lit(bits - 1))
-        marks = table.groupBy(F.shiftright(place, 6).alias("i")).agg(F.bit_or(F.expr("shiftleft(1L, cast(key & 63 AS int))")).alias("m")).toArrow()  # at most bits / 64 rows
-        known = np.zeros(bits // 64, np.uint64)
-        known[marks.column("i").to_numpy()] = marks.column("m").to_numpy().view(np.uint64)
+        known = bit_filter(table.select("key"), bits)
         key = top.column("key").to_numpy().view(np.uint64)
         order = np.argsort(key)
         self.shared = spark.sparkContext.broadcast((key[order], top.column("low").to_numpy()[order], top.column("back").to_numpy()[order], known))
@@ -193,9 +228,7 @@ def _batch(texts: list, marks: list, model: tuple, other: float, strongest: int)
         at = np.minimum(np.searchsorted(hot, keys), len(hot) - 1)
         return at, hot[at] == keys
 
-    def maybe(keys: np.ndarray) -> np.ndarray:
-        place = keys & np.uint64(64 * len(known) - 1)
-        return known[(place >> np.uint64(6)).view(np.int64)] >> (place & np.uint64(63)) & np.uint64(1) == 1
+    maybe = lambda keys: may_hold(known, keys)
 
     def rest(kind: int, keys: np.ndarray, of: np.ndarray, c: np.ndarray, d: np.ndarray) -> None:
         order = np.lexsort((keys, of))
@@ -292,13 +325,21 @@ def train(docs: DataFrame, labels: DataFrame, discount: float = DISCOUNT, rows:
     known = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(fold() != 0).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     marks = texts.select("doc_id", "h", F.xxhash64(F.reverse(F.substring("text", 1, 1000)), F.length("text")).alias("g")).join(known, "doc_id")
     once = stash(marks.groupBy("h", "g").agg(F.min("doc_id").alias("doc_id"), F.round(F.avg("toxic")).cast("int").alias("toxic")), "toxic-labels").drop("g")
-    # never a broadcast: labels grow with the corpus, and one plan holds for all sizes
-    rest = texts.where(fold() != 4).join(once.where(fold() != 4).hint("merge"), ["doc_id", "h"]).dropDuplicates(["doc_id", "h"])
-    pairs = count_pairs(rest)
-    release(docs.sparkSession)
-    table, other = entries(pairs, discount)
-    unstash(pairs)
-    release(docs.sparkSession)
+    spark = docs.sparkSession
+    held = spark.sparkContext.broadcast(bit_filter(once.select(F.col("h").alias("key")), bits))
+
+    @F.pandas_udf("boolean")
+    def labelled(h: pd.Series) -> pd.Series:
+        return pd.Series(may_hold(held.value, h.to_numpy(np.int64).view(np.uint64)))
+
+    # only texts that the filter lets through are moved; never a broadcast, as labels grow with the corpus
+    rest = texts.where((fold() != 4) & labelled("h")).join(once.where(fold() != 4).hint("merge"), ["doc_id", "h"]).dropDuplicates(["doc_id", "h"])
+    rest = stash(rest.select("text", "toxic"), "toxic-texts")
+    release(spark)
+    words, pairs = gather(rest, discount)
+    table, other = entries(words, pairs, discount)
+    unstash(rest, words, pairs)
+    release(spark)
     model = Model(table, other, hot, bits)
     ids = once.where(fold() == 4).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     few = stash(texts.join(F.broadcast(ids), ["doc_id", "h"]).select("text", "toxic", "h"), "toxic-curve")  # at most ``rows`` ids
@@ -316,7 +357,9 @@ def score_texts(docs: DataFrame, model: Model, text_col: str = "text", score_col
     score of no evidence. Repeated rows stay. Other columns stay and are no inputs."""
     w = model.weights
     rest = [c for c in docs.columns if c != score_col]
-    found = features(docs, model, text_col).select(F.col("t").alias("__t"), F.col("mean").alias("__mean"), F.col("top").alias("__top"))
+    found = stash(features(docs, model, text_col), "toxic-features")
+    release(docs.sparkSession)
+    found = found.select(F.col("t").alias("__t"), F.col("mean").alias("__mean"), F.col("top").alias("__top"))
     z = F.coalesce("__mean", F.lit(0.0)) * float(w[0]) + F.coalesce("__top", F.lit(0.0)) * float(w[1]) + float(w[2])
     score = 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))))
     return docs.select(*rest, F.xxhash64(text_col).alias("__t")).join(found, "__t", "left").select(*rest, score.alias(score_col))

@@ -40,7 +40,7 @@ def test_log_likelihoods_by_definition(spark, hot, bits):
     rows = [(" ".join(f"w{min(rng.randrange(60), rng.randrange(60))}" for _ in range(40)) + (" awful you" if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(160)]
     gain, alone = brute(rows)
     labelled = spark.createDataFrame(rows, "text string, toxic int")
-    table, other = toxicity.entries(toxicity.count_pairs(labelled, flush=500))
+    table, other = toxicity.entries(*toxicity.gather(labelled, parts=4, flush=500))
     assert math.isclose(other, alone("never seen"), abs_tol=1e-12)
     assert table.count() == table.select("key").distinct().count()
     model = toxicity.Model(table, other, hot, bits)
