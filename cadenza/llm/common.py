@@ -10,6 +10,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,11 +31,11 @@ def shared_dir(spark: SparkSession) -> str:
     return (found or os.path.join(tempfile.gettempdir(), "checkpoints")).rstrip("/") + "/cadenza"
 
 
-def stash(df: DataFrame, tag: str) -> DataFrame:
+def stash(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back: this cuts the
     lineage, and the rows survive the loss of any executor."""
     path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.stash_path = path
     return out
@@ -87,6 +88,22 @@ def process_memory(name: str) -> dict:
     return vars(sys.modules["pyspark"]).setdefault("_cadenza_memory", {}).setdefault(name, {})
 
 
+def bit_filter(keys: DataFrame, bits: int) -> np.ndarray:
+    """A bit for the lowest bits (``bits`` a power of two) of each key (a column ``key``), as
+    numbers of 64 bits: a fixed size, whatever the number of keys."""
+    place = F.col("key").bitwiseAND(F.lit(bits - 1))
+    marks = keys.groupBy(F.shiftright(place, 6).alias("i")).agg(F.bit_or(F.expr("shiftleft(1L, cast(key & 63 AS int))")).alias("m")).toArrow()  # at most bits / 64 rows
+    out = np.zeros(bits // 64, np.uint64)
+    out[marks.column("i").to_numpy()] = marks.column("m").to_numpy().view(np.uint64)
+    return out
+
+
+def may_hold(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the filter may hold the keys; False is certain."""
+    place = keys & np.uint64(64 * len(known) - 1)
+    return known[(place >> np.uint64(6)).view(np.int64)] >> (place & np.uint64(63)) & np.uint64(1) == 1
+
+
 def lower_ascii(col):
     """A-Z only, as the contracts ask; lower() would change other letters too."""
     return F.translate(col, UPPER, LOWER)

@@ -20,90 +20,119 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_rows, process_memory, shared_dir, small_batches, stash, unstash
+from .common import bit_filter, map_rows, may_hold, process_memory, shared_dir, small_batches, stash, unstash
 
 END_ID = 0
 #: Ids in a chunk: the least, the most, and the bits of the hash that must be zero at a cut.
 LEAST, MOST, MASK_BITS, REACH = 64, 4096, 9, 16
 #: Words remembered by a worker process; beyond that the memory is emptied and filled anew.
 MEMORY = 1 << 20
+#: Bits of the broadcast filter of keys that several tasks have (a power of two).
+FILTER_BITS = 1 << 24
 _MIX, _BASE = np.uint64(0x9E3779B97F4A7C15), 0xD6E8FEB86659FD93
 #: One space between two characters that are no white space: the tokenizer's own pattern always
 #: cuts before it, and never looks back, so both sides can be encoded apart.
 SPLIT = re.compile(r"(?<=\S) (?=\S)").split
 #: Where this occurs, a run of white space would be cut within; elsewhere each single space is such a place.
 RUN = re.compile(r"\s \s").search
-SPACED = re.compile(r"\s").search
+#: A word of Latin letters, then punctuation: the pattern cuts between the two, and nowhere else.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
+#: A line feed between two characters that are no white space is always cut off on both sides.
+LINE = re.compile(r"(?<=\S)\n(?=\S)").split
+
+
+def _alphabet() -> dict[int, str]:
+    """The byte-level alphabet: bytes that print stand for themselves, the others follow from 256 on."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(prints)]
+    return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+class _Words(dict):
+    """Words to packed ids, as if a space (or, after LINE_MARK, a line feed) went before."""
+
+    def __init__(self, coder: Coder):
+        super().__init__()
+        self.coder, self.table = coder, _alphabet()
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= MEMORY:
+            self.clear()
+        head = word[:1] == LINE_MARK
+        body = word[1:] if head else word
+        lead = "" if head else " "
+        if (m := PLAIN(body)) is not None:
+            core, tail = m.groups()
+            out = self[word[: len(word) - len(tail)]] + self[TAIL_MARK + tail] if tail else self.one(lead + core)
+        elif body[:1] == TAIL_MARK:
+            out = self.coder.pack([body[1:]])[0]
+        elif len(parts := LINE(body)) > 1:
+            out = self[word[:1] * head + parts[0]] + b"".join(self.coder.line + self[LINE_MARK + x] for x in parts[1:])
+        else:
+            out = self.coder.pack([lead + body])[0]
+        self[word] = out
+        return out
+
+    def one(self, piece: str) -> bytes:
+        """A single piece of the pattern, by the library's model."""
+        ids = [t.id for t in self.coder.library.model.tokenize(piece.encode().decode("latin1").translate(self.table))]
+        return np.array(ids, f"<u{self.coder.width}").tobytes()
+
+
+#: Characters that are no characters of Unicode text, so they name other readings of a word.
+LINE_MARK, TAIL_MARK = "\ufdd0", "\ufdd1"
 
 
 class Coder:
     """Whole-text encoding with the tokenizers library, remembering words it has encoded.
 
     Words are cut only where the byte-level pattern always cuts; a model whose pre-tokenizer
-    is another one gets whole texts.
+    is another one gets whole texts, and so do texts that hold the literal of an added token
+    (which the library makes one id, unless ``literal``) or a character used as a mark here.
     """
 
-    def __init__(self, spec: bytes):
+    def __init__(self, spec: bytes, literal: bool = False):
         import json
 
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(spec.decode())
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = literal
         self.library.no_truncation()
         known = json.loads(spec)
         pre = known.get("pre_tokenizer") or {}
-        self.byte_level = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not known.get("normalizer")
+        whole = not (pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not known.get("normalizer") and known["model"].get("type", "BPE") == "BPE" and not known["model"].get("dropout"))
+        added = [t["content"] for t in known.get("added_tokens") or () if not (literal and t["special"])]
+        self.apart = re.compile("" if whole else "|".join([LINE_MARK, TAIL_MARK, *map(re.escape, added)])).search
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
-        self.words: dict[str, bytes] = {}
-        line = self.library.encode("\n", add_special_tokens=False).ids
-        self.byte_level = self.byte_level and len(line) == 1
-        self.line = line[0] if line else None
+        self.line = self.pack(["\n"])[0]
+        self.words = _Words(self)
 
     def pack(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, f"<u{self.width}").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, new: list[str]) -> None:
-        """Encode words with a space before each: those without white space in lines of one
-        text, where the line feed is an id of its own between them."""
-        plain = [w for w in new if not SPACED(w)]
-        other = [w for w in new if SPACED(w)]
-        self.words.update(zip(other, self.pack([" " + w for w in other]), strict=True))
-        for lo in range(0, len(plain), 500):
-            some = plain[lo : lo + 500]
-            ids = np.frombuffer(self.pack(["".join(f" {w}\n" for w in some)])[0], f"<u{self.width}")
-            ends = np.flatnonzero(ids == self.line).tolist()
-            if len(ends) != len(some):
-                raise ValueError("the line feed is not an id of its own")
-            raw, n = ids.tobytes(), self.width
-            self.words.update(zip(some, [raw[a * n : e * n] for a, e in zip([0, *(e + 1 for e in ends)], ends, strict=False)], strict=True))
-
     def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.byte_level:
-            return self.pack(texts)
-        cut = [SPLIT(t) if RUN(t) else t.split(" ") for t in texts]
-        words, new = self.words, set()
-        for c in cut:
-            new.update(c[1:])
-        new = new.difference(words)
-        if len(words) + len(new) > MEMORY:
-            words.clear()
-            new = {w for c in cut for w in c[1:]}
-        self.learn(list(new))
-        heads = self.pack([c[0] for c in cut])
-        return [h + b"".join(map(words.__getitem__, c[1:])) for h, c in zip(heads, cut, strict=True)]
-
-
-def _coder(spec: bytes) -> Coder:
+        found, out = self.words.__getitem__, []
+        for t in texts:
+            if self.apart(t):
+                out.append(self.pack([t])[0])
+                continue
+            first, *rest = SPLIT(t) if RUN(t) else t.split(" ")
+            out.append(found(LINE_MARK + first) + b"".join(map(found, rest)))
+        return out
+
+
+def _coder(spec: bytes, literal: bool) -> Coder:
     held = process_memory("coders")
-    key = hash(spec)
+    key = hash(spec), literal
     if key not in held:
-        held[key] = Coder(spec)
+        held[key] = Coder(spec, literal)
     return held[key]
 
 
@@ -143,13 +172,68 @@ def merkle(keys: list[bytes]) -> bytes:
     return level[0]
 
 
-def write_store(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> None:
+class Tree:
+    """merkle() over hashes that come one by one: keeps one root for each full subtree only."""
+
+    def __init__(self):
+        self.full: list[tuple[int, bytes]] = []
+
+    def add(self, key: bytes) -> None:
+        size, root = 1, hashlib.sha256(b"\0" + key).digest()
+        while self.full and self.full[-1][0] == size:
+            size, root = 2 * size, hashlib.sha256(b"\1" + self.full.pop()[1] + root).digest()
+        self.full.append((size, root))
+
+    def root(self) -> bytes:
+        out = None
+        for _, root in reversed(self.full):
+            out = root if out is None else hashlib.sha256(b"\1" + root + out).digest()
+        return hashlib.sha256(b"").digest() if out is None else out
+
+
+def _leaf(doc_id: int | None, start: int, n_tokens: int, root: bytes) -> bytes:
+    return f"{doc_id} {start} {n_tokens} ".encode() + root
+
+
+def part_roots(recipes: DataFrame) -> DataFrame:
+    """(part, first_doc, n_docs, n_tokens, root) of every part of the recipes: the root is over
+    (doc_id, start, n_tokens, root) of its documents in the order of start. A part is streamed;
+    starts that don't follow from the lengths before them raise."""
+    schema = "part int, first_doc long, n_docs long, n_tokens long, root binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, found = None, []
+        for b in batches:
+            for part, doc, start, n, root in zip(*(b.column(c).to_pylist() for c in ("part", "doc_id", "start", "n_tokens", "root")), strict=True):
+                if part != now:
+                    found += [(now, first, docs, at, tree.root())] if now is not None else []
+                    now, first, docs, at, tree = part, doc, 0, 0, Tree()
+                if start != at:
+                    raise ValueError(f"part {part}: a recipe is missing or was added before id {start}")
+                tree.add(_leaf(doc, start, n, root))
+                docs, at = docs + 1, at + n
+        found += [(now, first, docs, at, tree.root())] if now is not None else []
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["part", "first_doc", "n_docs", "n_tokens", "root"])
+
+    small_batches(recipes.sparkSession)
+    rows = recipes.select("part", "doc_id", "start", "n_tokens", "root").repartition("part").sortWithinPartitions("part", "start")
+    return rows.mapInArrow(run, schema)
+
+
+def write_store(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", literal: bool = False, bits: int = FILTER_BITS) -> None:
     """Encode all rows' whole texts and write the store.
 
-    Null and empty texts are the end id alone. Rows with the same doc_id keep one recipe each,
-    in the order of their first chunk keys; rows with a null doc_id come first. An empty table
-    gives an empty store. Other columns are not read. Two shuffles: distinct chunks by key,
-    and recipes (keys only) by doc_id.
+    Ids are the library's with add_special_tokens=False; where a text holds the literal of an
+    added token it becomes that token's id as the library does by default, or ordinary text
+    with ``literal``. Null and empty texts are the end id alone. Rows with the same doc_id keep
+    one recipe each, in the order of their first chunk keys; rows with a null doc_id come first.
+    An empty table gives an empty store. Other columns are not read.
+
+    A task sends equal chunks once. Which keys more than one task has follows from the keys
+    alone; only the chunks of such keys are shuffled (those that a filter of fixed size takes for
+    one, too), all others go from where they were cut to their file. Recipes (keys only) are
+    dealt by doc_id.
     """
     spark = docs.sparkSession
     with open(tokenizer_path, "rb") as f:
@@ -158,30 +242,42 @@ def write_store(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int =
     width = Coder(raw).width
     end = int(end_id).to_bytes(width, "little")
 
-    def run(cols: dict) -> dict:
-        coder = _coder(spec.value)
-        keys_of, blobs_of, counts, sent = [], [], [], set()
-        for ids in coder.encode([t or "" for t in cols["text"].to_pylist()]):
-            ids += end
-            at, keys, blobs = 0, [], []
-            for stop in cuts(np.frombuffer(ids, f"<u{width}")):
-                blob = ids[at * width : stop * width]
-                key = hashlib.sha256(blob).digest()
-                keys.append(key)
-                blobs.append(None if key in sent else blob)
-                sent.add(key)
-                at = stop
-            keys_of.append(keys)
-            blobs_of.append(blobs)
-            counts.append(at)
-        return {"doc_id": cols["doc_id"], "n_tokens": counts, "keys": keys_of, "blobs": blobs_of}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder, sent = _coder(spec.value, literal), set()
+        for b in batches:
+            keys_of, blobs_of, counts = [], [], []
+            if len(sent) > MEMORY:
+                sent.clear()
+            for ids in coder.encode([t or "" for t in b.column(1).to_pylist()]):
+                ids += end
+                at, keys, blobs = 0, [], []
+                for stop in cuts(np.frombuffer(ids, f"<u{width}")):
+                    blob = ids[at * width : stop * width]
+                    key = hashlib.sha256(blob).digest()
+                    keys.append(key)
+                    blobs.append(None if key in sent else blob)
+                    sent.add(key)
+                    at = stop
+                keys_of.append(keys)
+                blobs_of.append(blobs)
+                counts.append(at)
+            if counts:
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int64()), pa.array(keys_of, pa.list_(pa.binary())), pa.array(blobs_of, pa.list_(pa.binary()))], ["doc_id", "n_tokens", "keys", "blobs"])
 
+    small_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    coded = stash(map_rows(rows, "doc_id long, n_tokens long, keys array<binary>, blobs array<binary>", run), "token-chunks")
+    coded = stash(rows.mapInArrow(run, "doc_id long, n_tokens long, keys array<binary>, blobs array<binary>"), "token-chunks", "zstd")
     pieces = coded.select(F.explode(F.arrays_zip("keys", "blobs")).alias("c")).where("c.blobs IS NOT NULL").select(F.col("c.keys").alias("key"), F.col("c.blobs").alias("ids"))
-    pieces.dropDuplicates(["key"]).write.parquet(f"{folder}/chunks")
+    twice = coded.select(F.explode(F.arrays_zip("keys", F.transform("blobs", lambda x: x.isNotNull()).alias("here"))).alias("c")).where("c.here").groupBy(F.col("c.keys").alias("k")).agg(F.count("*").alias("n")).where("n > 1")
+    held = spark.sparkContext.broadcast(bit_filter(twice.select(F.xxhash64("k").alias("key")), bits))
 
-    small_batches(spark)
+    @F.pandas_udf("boolean")
+    def shared(h: pd.Series) -> pd.Series:
+        return pd.Series(may_hold(held.value, h.to_numpy(np.int64).view(np.uint64)))
+
+    marked = pieces.withColumn("shared", shared(F.xxhash64("key")))
+    marked.where("NOT shared").select("key", "ids").write.option("compression", "zstd").parquet(f"{folder}/chunks")
+    marked.where("shared").select("key", "ids").dropDuplicates(["key"]).write.mode("append").option("compression", "zstd").parquet(f"{folder}/chunks")
 
     def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, start = TaskContext.get().partitionId(), 0
@@ -195,19 +291,27 @@ def write_store(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int =
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ordered = coded.select("doc_id", "n_tokens", "keys").repartitionByRange(parts, "doc_id", F.xxhash64("keys")).sortWithinPartitions("doc_id", F.xxhash64("keys"), "keys")
     ordered.mapInArrow(order, "part int, doc_id long, start long, n_tokens long, keys array<binary>, root binary").write.parquet(f"{folder}/recipes")
-    recipes = spark.read.parquet(f"{folder}/recipes")
-    totals = sorted(recipes.groupBy("part").agg(F.min("doc_id"), F.count("*"), F.sum("n_tokens")).collect())  # a row for each partition
-    hashes = dict(
-        recipes.groupBy("part").agg(F.sort_array(F.collect_list(F.struct("start", "root"))).alias("r"))
-        .select("part", F.sha2(F.aggregate("r.root", F.unhex(F.lit("")), lambda a, x: F.unhex(F.sha2(F.concat(a, x), 256))), 256)).collect()
-    )
+    unstash(coded)
     start, lines = 0, []
-    for part, first, n_docs, n in totals:
-        lines.append((part, first, n_docs, start, n, bytes.fromhex(hashes[part])))
+    for part, first, n_docs, n, root in sorted(part_roots(spark.read.parquet(f"{folder}/recipes")).collect()):  # a row for each partition
+        lines.append((part, first, n_docs, start, n, root))
         start += n
     spark.createDataFrame(lines, "part int, first_doc long, n_docs long, start long, n_tokens long, root binary").coalesce(1).write.parquet(f"{folder}/manifest")
-    spark.createDataFrame([(width, start, merkle([x[-1] for x in lines]))], "width int, n_tokens long, root binary").coalesce(1).write.parquet(f"{folder}/top")
-    unstash(coded)
+    spark.createDataFrame([(width, start, merkle([bytes(x[-1]) for x in lines]))], "width int, n_tokens long, root binary").coalesce(1).write.parquet(f"{folder}/top")
+
+
+def verify_manifest(spark: SparkSession, folder: str) -> int:
+    """Hold the recipes against the manifest and the manifest against the top; the ids' width.
+    A recipe that was lost, added, moved or changed raises."""
+    top = spark.read.parquet(f"{folder}/top").first()
+    rows = sorted(spark.read.parquet(f"{folder}/manifest").collect())  # a row for each partition
+    found = sorted(part_roots(spark.read.parquet(f"{folder}/recipes")).collect())
+    if [(r.part, r.first_doc, r.n_docs, r.n_tokens, r.root) for r in rows] != [tuple(r) for r in found]:
+        raise ValueError("the recipes are not those of the manifest")
+    starts = np.cumsum([0, *(r.n_tokens for r in rows)]).tolist()
+    if [r.start for r in rows] != starts[:-1] or top["n_tokens"] != starts[-1] or bytes(top["root"]) != merkle([bytes(r.root) for r in rows]):
+        raise ValueError("the manifest is not that of the top")
+    return top["width"]
 
 
 _POLY = 0xEDB88320
@@ -248,48 +352,74 @@ def join_crcs(parts: list[tuple[int, int]], shift: Shift) -> int:
     return total
 
 
+def _placed(spark: SparkSession, folder: str) -> DataFrame:
+    manifest = spark.read.parquet(f"{folder}/manifest").select("part", F.col("start").alias("before"))
+    recipes = spark.read.parquet(f"{folder}/recipes").join(F.broadcast(manifest), "part")  # a row for each partition
+    return recipes.select("doc_id", (F.col("before") + F.col("start")).alias("start"), "n_tokens", "keys", "root")
+
+
+def _check_key(key: bytes, blob: bytes) -> bytes:
+    if hashlib.sha256(blob).digest() != key:
+        raise ValueError(f"chunk {key.hex()} does not have its key")
+    return blob
+
+
 def read_digests(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every recipe, from the files.
 
-    Every distinct chunk is read, held against its key and measured once; a document's sum
-    is put together from its chunks' sums and lengths, so a chunk that a third of all
-    documents share travels as a few numbers. A chunk whose bytes do not have its key, a
-    missing chunk, a recipe whose root or length differs raises.
+    Recipes are held against the manifest, the manifest against the top. Every distinct chunk is
+    read, held against its key and measured once; a document's sum is put together from its
+    chunks' sums and lengths, so a chunk that a third of all documents share travels as a few
+    numbers. A chunk whose bytes do not have its key, a missing chunk, a recipe whose root or
+    length differs raises.
     """
-    width = spark.read.parquet(f"{folder}/top").first()["width"]
+    width = verify_manifest(spark, folder)
     small_batches(spark)
 
     def measure(cols: dict) -> dict:
-        keys, blobs = cols["key"].to_pylist(), cols["ids"].to_pylist()
-        for k, b in zip(keys, blobs, strict=True):
-            if hashlib.sha256(b).digest() != k:
-                raise ValueError(f"chunk {k.hex()} does not have its key")
+        blobs = [_check_key(k, b) for k, b in zip(cols["key"].to_pylist(), cols["ids"].to_pylist(), strict=True)]
         return {"key": cols["key"], "n": [len(b) // width for b in blobs], "crc": [zlib.crc32(np.frombuffer(b, f"<u{width}").astype("<u4").tobytes()) for b in blobs]}
 
     chunks = map_rows(spark.read.parquet(f"{folder}/chunks"), "key binary, n int, crc long", measure)
-    recipes = spark.read.parquet(f"{folder}/recipes").join(F.broadcast(spark.read.parquet(f"{folder}/manifest").select("part", F.col("start").alias("before"))), "part")  # a row for each partition
-    rows = recipes.select("part", F.col("start").alias("at"), "doc_id", (F.col("before") + F.col("start")).alias("start"), "n_tokens", "root", F.posexplode("keys").alias("pos", "key"))
+    rows = _placed(spark, folder).select("start", "doc_id", "n_tokens", "root", F.posexplode("keys").alias("pos", "key"))
     joined = rows.join(chunks, "key", "left").groupBy("start", "doc_id", "n_tokens", "root").agg(F.sort_array(F.collect_list(F.struct("pos", "key", "n", "crc"))).alias("c"))
 
     def check(cols: dict) -> dict:
-        shift, out = Shift(), []
-        for n_tokens, root, c in zip(cols["n_tokens"].to_pylist(), cols["root"].to_pylist(), cols["c"].to_pylist(), strict=True):
-            if any(x["crc"] is None for x in c) or sum(x["n"] for x in c) != n_tokens or merkle([x["key"] for x in c]) != root:
+        shift, out = process_memory("crc").setdefault("shift", Shift()), []
+        c = cols["c"]
+        flat, ends = c.flatten(), c.value_lengths().to_numpy().cumsum().tolist()
+        keys, n, crc = (flat.field(i).to_pylist() for i in (1, 2, 3))
+        lo = 0
+        for n_tokens, root, hi in zip(cols["n_tokens"].to_pylist(), cols["root"].to_pylist(), ends, strict=True):
+            if None in crc[lo:hi] or sum(n[lo:hi]) != n_tokens or merkle(keys[lo:hi]) != root:
                 raise ValueError("a recipe cannot be put together as it was written")
-            out.append(join_crcs([(x["crc"], 4 * x["n"]) for x in c], shift))
+            out.append(join_crcs([(x, 4 * k) for x, k in zip(crc[lo:hi], n[lo:hi], strict=True)], shift))
+            lo = hi
         return {"doc_id": cols["doc_id"], "start": cols["start"], "n_tokens": cols["n_tokens"], "ids_crc32": out}
 
     return map_rows(joined, "doc_id long, start long, n_tokens long, ids_crc32 long", check)
 
 
 def read_ids(spark: SparkSession, folder: str, where: str | None = None) -> DataFrame:
-    """doc_id, start, ids array<int>: documents put together again from their chunks."""
-    width = spark.read.parquet(f"{folder}/top").first()["width"]
-    recipes = spark.read.parquet(f"{folder}/recipes").join(F.broadcast(spark.read.parquet(f"{folder}/manifest").select("part", F.col("start").alias("before"))), "part")
+    """doc_id, start, ids array<int>: documents put together again from their chunks, with the
+    checks of read_digests()."""
+    width = verify_manifest(spark, folder)
+    recipes = _placed(spark, folder)
     recipes = recipes.where(where) if where else recipes
-    rows = recipes.select("doc_id", (F.col("before") + F.col("start")).alias("start"), F.posexplode("keys").alias("pos", "key"))
-    whole = rows.join(spark.read.parquet(f"{folder}/chunks"), "key").groupBy("start", "doc_id").agg(F.sort_array(F.collect_list(F.struct("pos", "ids"))).alias("c"))
-    return map_rows(whole, "doc_id long, start long, ids array<int>", lambda cols: {"doc_id": cols["doc_id"], "start": cols["start"], "ids": [np.frombuffer(b"".join(x["ids"] for x in c), f"<u{width}").astype(np.int32).tolist() for c in cols["c"].to_pylist()]})
+    rows = recipes.select("doc_id", "start", "n_tokens", "root", F.posexplode("keys").alias("pos", "key"))
+    whole = rows.join(spark.read.parquet(f"{folder}/chunks"), "key", "left").groupBy("start", "doc_id", "n_tokens", "root").agg(F.sort_array(F.collect_list(F.struct("pos", "key", "ids"))).alias("c"))
+
+    def build(cols: dict) -> dict:
+        out = []
+        for n, root, c in zip(cols["n_tokens"].to_pylist(), cols["root"].to_pylist(), cols["c"].to_pylist(), strict=True):
+            if any(x["ids"] is None for x in c) or merkle([x["key"] for x in c]) != root:
+                raise ValueError("a recipe cannot be put together as it was written")
+            out.append(np.frombuffer(b"".join(_check_key(x["key"], x["ids"]) for x in c), f"<u{width}").astype(np.int32))
+            if len(out[-1]) != n:
+                raise ValueError("a recipe cannot be put together as it was written")
+        return {"doc_id": cols["doc_id"], "start": cols["start"], "ids": out}
+
+    return map_rows(whole, "doc_id long, start long, ids array<int>", build)
 
 
 def default_tokenizer() -> str:
@@ -299,6 +429,8 @@ def default_tokenizer() -> str:
 
 
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of every row of documents, read from a store written
+    for the call; null and empty texts are the end id alone."""
     folder = f"{shared_dir(spark)}/token-store-{uuid.uuid4().hex}"
     write_store(spark.read.parquet(f"{sf_dir}/documents.parquet"), folder, default_tokenizer())
     return read_digests(spark, folder)

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import process_memory, release, small_batches, stash, unstash
+from .common import bit_filter, may_hold, process_memory, release, small_batches, stash, unstash
 
 DISCOUNT = 3.0
 #: Labelled rows of the calibration fold that the curve is fitted on at most, by a hash of the id.
@@ -90,21 +90,6 @@ def _pair_key(v: Column, w: Column) -> Column:
     return F.shiftleft(v, 21).bitwiseOR(F.shiftrightunsigned(v, 43)).bitwiseXOR(w)
 
 
-def bit_filter(keys: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
-    """A bit for the lowest bits of each key (a column ``key``), as numbers of 64 bits."""
-    place = F.col("key").bitwiseAND(F.lit(bits - 1))
-    marks = keys.groupBy(F.shiftright(place, 6).alias("i")).agg(F.bit_or(F.expr("shiftleft(1L, cast(key & 63 AS int))")).alias("m")).toArrow()  # at most bits / 64 rows
-    out = np.zeros(bits // 64, np.uint64)
-    out[marks.column("i").to_numpy()] = marks.column("m").to_numpy().view(np.uint64)
-    return out
-
-
-def may_hold(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Whether the filter may hold the keys; False is certain."""
-    place = keys & np.uint64(64 * len(known) - 1)
-    return known[(place >> np.uint64(6)).view(np.int64)] >> (place & np.uint64(63)) & np.uint64(1) == 1
-
-
 def count_pairs(labelled: DataFrame, part: int = 0, parts: int = 1, flush: int = PAIRS) -> DataFrame:
     """(v, w, a, b): ordinary and toxic texts that hold the neighbours v w, for the pairs of one
     of ``parts`` parts (a power of two). labelled: (text, toxic). A task adds up its rows

@@ -140,12 +140,13 @@ def test_token_store_round_trip(spark, tmp_path):
 
     rng = random.Random(7)
     long = " ".join("".join(rng.choices("etaoin", k=5)) for _ in range(4000))
-    rows = [(3, "a  b\n c's"), (1, None), (2, long), (9, long), (7, "<|endoftext|> x ")]
+    odd = " lead, it's x\ny.\nZ end\n\n q \n\t r!! ünï—c, don't! 12 a1 ### é\u0301 \ufdd0 b\xa0c d"
+    rows = [(3, "a  b\n c's"), (1, None), (2, long), (9, long), (7, "<|endoftext|> x "), (8, odd), (10, odd.replace("\ufdd0", "") * 50), (11, " "), (12, "\n"), (13, "Word. Word,\nWord; "), (None, "no id")]
     token_store.write_store(docs(spark, rows), str(tmp_path / "s"), token_store.default_tokenizer())
     lib = Tokenizer.from_file(token_store.default_tokenizer())
-    lib.encode_special_tokens = True
     start, want = 0, {}
-    for i, t in sorted(rows):
+    assert 50256 in lib.encode("<|endoftext|> x ", add_special_tokens=False).ids
+    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r)):
         ids = [*lib.encode(t or "", add_special_tokens=False).ids, 0]
         want[i] = (start, ids)
         start += len(ids)
@@ -154,6 +155,28 @@ def test_token_store_round_trip(spark, tmp_path):
     assert got == {i: (s, len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, (s, x) in want.items()}
     chunks = spark.read.parquet(str(tmp_path / "s/chunks"))
     assert all(hashlib.sha256(r.ids).digest() == r.key for r in chunks.collect()) and chunks.count() == chunks.select("key").distinct().count()
+    assert {r.doc_id for r in token_store.read_ids(spark, str(tmp_path / "s"), "doc_id > 8").collect()} == {9, 10, 11, 12, 13}
+    token_store.write_store(docs(spark, []), str(tmp_path / "e"), token_store.default_tokenizer())
+    assert token_store.read_ids(spark, str(tmp_path / "e")).count() == 0 and token_store.read_digests(spark, str(tmp_path / "e")).count() == 0
+    tree, keys = token_store.Tree(), [bytes([i]) for i in range(21)]
+    for i, k in enumerate(keys):
+        assert tree.root() == token_store.merkle(keys[:i])
+        tree.add(k)
+
+
+@pytest.mark.parametrize("table,where", [("recipes", "doc_id <> 3"), ("recipes", "n_tokens > 8"), ("chunks", "length(ids) > 60"), ("manifest", "part > 0"), ("chunks", None)])
+def test_a_store_that_changed_raises(spark, tmp_path, table, where):
+    src, dst = str(tmp_path / "a"), str(tmp_path / "b")
+    token_store.write_store(docs(spark, [(i, f"text number {i} of some" + " more" * i) for i in range(40)]), src, token_store.default_tokenizer())
+    for t in ("chunks", "recipes", "manifest", "top"):
+        x = spark.read.parquet(f"{src}/{t}")
+        if t == table:
+            x = x.where(where) if where else x.withColumn("ids", F.concat("ids", F.lit(b"\x01\x02")))
+        x.write.parquet(f"{dst}/{t}")
+    for f in (token_store.read_digests, token_store.read_ids):
+        assert f(spark, src).count() == 40
+        with pytest.raises(Exception):  # noqa: B017
+            f(spark, dst).count()
 
 
 def test_nearest_edges(spark):
