@@ -17,6 +17,8 @@ import hashlib
 import re
 import uuid
 import zlib
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -59,11 +61,15 @@ class _Words(dict):
 
     def __init__(self, coder: Coder):
         super().__init__()
-        self.coder, self.table = coder, _alphabet()
+        self.coder, self.table, self.model = coder, _alphabet(), coder.library.model
+        self.code = {array(c).itemsize: c for c in "HIL"}[coder.width]
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= MEMORY:
             self.clear()
+        if word.isascii() and word.isalpha():
+            self[word] = out = array(self.code, [t.id for t in self.model.tokenize("Ġ" + word)]).tobytes()
+            return out
         head = word[:1] == LINE_MARK
         body = word[1:] if head else word
         lead = "" if head else " "
@@ -81,8 +87,7 @@ class _Words(dict):
 
     def one(self, piece: str) -> bytes:
         """A single piece of the pattern, by the library's model."""
-        ids = [t.id for t in self.coder.library.model.tokenize(piece.encode().decode("latin1").translate(self.table))]
-        return np.array(ids, f"<u{self.coder.width}").tobytes()
+        return array(self.code, [t.id for t in self.model.tokenize(piece.encode().decode("latin1").translate(self.table))]).tobytes()
 
 
 #: Characters that are no characters of Unicode text, so they name other readings of a word.
@@ -142,24 +147,32 @@ def _powers(n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-def cuts(ids: np.ndarray, least: int = LEAST, most: int = MOST, bits: int = MASK_BITS) -> list[int]:
-    """Ends of the chunks: the first place at least ``least`` ids on where the hash of the
-    last REACH ids has ``bits`` leading zeros, ``most`` ids on at the latest."""
+def places(ids: np.ndarray, bits: int = MASK_BITS) -> np.ndarray:
+    """Where the hash of the last REACH ids has ``bits`` leading zeros (one past the last)."""
     n = len(ids)
-    if n <= least:
-        return [n] if n else []
     x = (ids.astype(np.uint64) + np.uint64(1)) * _MIX
     x ^= x >> np.uint64(29)
     h = np.zeros(n, np.uint64)
-    for j, p in enumerate(_powers(REACH - 1)):
+    for j, p in enumerate(_powers(REACH - 1)[:n]):
         h[j:] += x[: n - j] * p
-    places = np.flatnonzero((h >> np.uint64(64 - bits)) == 0) + 1
-    out, at = [], 0
-    while at < n:
-        k = np.searchsorted(places, at + least)
-        end = min(int(places[k]) if k < len(places) else n, at + most, n)
-        out.append(end)
-        at = end
+    return np.flatnonzero((h >> np.uint64(64 - bits)) == 0) + 1
+
+
+def cuts(lengths: list[int], found: list[int], least: int = LEAST, most: int = MOST) -> list[list[int]]:
+    """For streams of these lengths laid end to end, and the places() of the whole, the ends of
+    each one's chunks, from its own start: the first place at least ``least`` ids on, ``most``
+    ids on at the latest. No window of REACH ids that ends there reaches into another stream."""
+    if least < REACH:
+        raise ValueError("chunks must be longer than the hash's reach")
+    out, start = [], 0
+    for n in lengths:
+        ends, at = [], start
+        while at < start + n:
+            k = bisect_left(found, at + least)
+            at = min(found[k] if k < len(found) else start + n, at + most, start + n)
+            ends.append(at - start)
+        out.append(ends)
+        start += n
     return out
 
 
@@ -248,10 +261,11 @@ def write_store(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int =
             keys_of, blobs_of, counts = [], [], []
             if len(sent) > MEMORY:
                 sent.clear()
-            for ids in coder.encode([t or "" for t in b.column(1).to_pylist()]):
-                ids += end
+            coded = [ids + end for ids in coder.encode([t or "" for t in b.column(1).to_pylist()])]
+            found = places(np.frombuffer(b"".join(coded), f"<u{width}")).tolist()
+            for ids, stops in zip(coded, cuts([len(x) // width for x in coded], found), strict=True):
                 at, keys, blobs = 0, [], []
-                for stop in cuts(np.frombuffer(ids, f"<u{width}")):
+                for stop in stops:
                     blob = ids[at * width : stop * width]
                     key = hashlib.sha256(blob).digest()
                     keys.append(key)
