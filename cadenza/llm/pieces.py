@@ -14,19 +14,21 @@ library's own encoding, not merely the one with the best sum.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable
-from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .common import map_rows, process_memory
 
 SPACE = "▁"
 #: Words and pairs remembered by one task; beyond that the memory is emptied and filled anew.
-MEMORY = 1 << 19
+MEMORY = 1 << 20
+#: Longer words are not remembered.
+LONG = 64
 
 
 def _kind(model: bytes) -> int:
@@ -60,6 +62,33 @@ def _kind(model: bytes) -> int:
     return 1
 
 
+#: A word of letters, then of characters that are none.
+LETTERS = re.compile(r"([^\W\d_]+)(\W+)").fullmatch
+
+
+def pack(ids: Iterable[int]) -> bytes:
+    return array("i", ids).tobytes()
+
+
+class _Words(dict):
+    """Words to packed ids, as if ``lead`` went before them."""
+
+    def __init__(self, model: PieceModel, lead: str, apart: bool):
+        super().__init__()
+        self.model, self.lead, self.apart = model, lead, apart
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= MEMORY:
+            self.clear()
+        if self.apart and (m := LETTERS(word)) is not None and m[1].isalpha():
+            out = self[m[1]] + self.model.ends[m[2]]
+        else:
+            out = pack(self.model.number(self.model.stream(self.lead + word)))
+        if len(word) <= LONG:
+            self[word] = out
+        return out
+
+
 class PieceModel:
     """A model file, with encode(text) and decode(ids)."""
 
@@ -78,6 +107,7 @@ class PieceModel:
                 self.byte_of[i] = int(p[3:5], 16)
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
                 self.ids[p], self.score[p] = i, sp.get_score(i)
+        self.shown = {i: self.piece[i].replace(SPACE, " ") for i in self.ids.values()} | {i: chr(b) for i, b in self.byte_of.items() if b < 128}
         self.hidden = {i for i in range(size) if sp.is_control(i)}
         self.longest = max(map(len, self.ids))
         self.unknown_score = min(self.score.values()) - 10
@@ -90,7 +120,9 @@ class PieceModel:
         #: where no piece reaches across, all paths meet: the text may be cut there beforehand
         self.cut = None if inner else re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+\\Z").findall
         self.plain = sp.normalize("  a　ﬁ  B ") == SPACE + "  a　ﬁ  B ".replace(" ", SPACE)
-        self.words: dict[str, tuple[int, ...]] = {}
+        #: where no piece has a letter before another character, a word may be cut there, too
+        apart = (self.bytes or self.bpe) and not any(a.isalpha() and not b.isalpha() for p in self.ids for a, b in zip(p, p[1:], strict=False))
+        self.words, self.ends = _Words(self, SPACE, apart), _Words(self, "", False)
         self.n_pairs, self.root = 0, self.node("")
 
     def normal(self, text: str) -> str:
@@ -129,11 +161,11 @@ class PieceModel:
         known[left] = out = self.merged(left + right) == ([left, right] if left else [right])
         return out
 
-    def extend(self, text: str, ends: list[str], sums: list[float], node: list) -> list:
+    def extend(self, text: str, ends: list[str], sums: list[float], nodes: list[list]) -> None:
         """Backpointers of the boundaries of text that have none yet: ends[i] is the piece
-        that ends at i (ends[0]: the last committed one), sums[i] the best sum (unigram).
-        Takes and returns the automaton's node."""
-        i, score, fits = len(ends) - 1, self.score, self.fits
+        that ends at i (ends[0]: the last committed one), sums[i] the best sum (unigram),
+        nodes[i] the automaton's node there."""
+        i, score, fits, node = len(ends) - 1, self.score, self.fits, nodes[-1]
         for c in text[i:]:
             i += 1
             then = node[0].get(c)
@@ -155,15 +187,15 @@ class PieceModel:
                         best, take = sums[i - n] + score[p], p
                 sums.append(best)
             ends.append(take)
-        return node
+            nodes.append(node)
 
     def stream(self, text: str) -> Iterable[str]:
         """The committed pieces of a text, read window by window."""
         step = 4 * self.longest
-        window, ends, sums, node = "", [""], [0.0], self.root
+        window, ends, sums, nodes = "", [""], [0.0], [self.root]
         for at in range(0, len(text), step):
             window += text[at : at + step]
-            node = self.extend(window, ends, sums, node)
+            self.extend(window, ends, sums, nodes)
             if at + step >= len(text):
                 break
             live = set(range(len(window) - self.longest + 1, len(window) + 1))
@@ -174,7 +206,7 @@ class PieceModel:
             meet = live.pop()
             if meet:
                 yield from self.path(ends, meet)
-                window, ends, sums = window[meet:], ends[meet:], sums[meet:]
+                window, ends, sums, nodes = window[meet:], ends[meet:], sums[meet:], nodes[meet:]
         yield from self.path(ends, len(window))
 
     @staticmethod
@@ -186,6 +218,21 @@ class PieceModel:
         out.reverse()
         return out
 
+    def learn(self, words: Iterable[str]) -> None:
+        """Remember words not known yet. In sorted order a word goes on from the boundaries of
+        what it has in common with the one before."""
+        was, ends, sums, nodes, known = "", [""], [0.0], [self.root], self.words
+        for w in sorted(words):
+            w, k = SPACE + w, 0
+            for a, b in zip(was, w, strict=False):
+                if a != b:
+                    break
+                k += 1
+            del ends[k + 1 :], sums[k + 1 :], nodes[k + 1 :]
+            self.extend(w, ends, sums, nodes)
+            known[w[1:]] = pack(self.number(self.path(ends, len(w))))
+            was = w
+
     def number(self, pieces: Iterable[str]) -> tuple[int, ...]:
         pieces = list(pieces)
         try:
@@ -205,29 +252,40 @@ class PieceModel:
             unknown = i is None
         return tuple(out)
 
-    def encode(self, text: str) -> list[int]:
+    def packed(self, text: str) -> bytes:
+        """The ids of a whole text, as 32-bit integers."""
+        if not text:
+            return b""
         if self.cut is None:
-            return list(self.number(self.stream(self.normal(text))))
-        if self.plain and text and SPACE not in text and "  " not in text and text[0] != " " and text[-1] != " ":
-            words = text.split(" ")
-        else:
-            words = [w[1:] if w[:1] == SPACE else w for w in self.cut(self.normal(text))]
-            if any(w[:1] != SPACE for w in self.cut(self.normal(text))):
-                return [i for w in self.cut(self.normal(text)) for i in self.number(self.stream(w))]
-        known = self.words
-        new = set(words).difference(known)
-        if len(known) + len(new) > MEMORY:
-            known.clear()
-            new = set(words)
-        long = [w for w in new if len(w) > 64]
-        for w in new:
-            known[w] = self.number(self.stream(SPACE + w))
-        out = list(chain.from_iterable(map(known.__getitem__, words)))
-        for w in long:
-            del known[w]
-        return out
+            return pack(self.number(self.stream(self.normal(text))))
+        if self.simple(text):
+            return b"".join(map(self.words.__getitem__, text.split(" ")))
+        return b"".join(self.words[w[1:]] if w[:1] == SPACE else pack(self.number(self.stream(w))) for w in self.cut(self.normal(text)))
+
+    def simple(self, text: str) -> bool:
+        """Whether the text's words are what single spaces separate."""
+        return self.cut is not None and self.plain and text != "" and SPACE not in text and "  " not in text and text[0] != " " and text[-1] != " "
+
+    def packed_all(self, texts: list[str]) -> list[bytes]:
+        """packed() of each text; new words of all are learned together."""
+        new = {w for t in texts if self.simple(t) for w in t.split(" ")}.difference(self.words)
+        if len(self.words) + len(new) > MEMORY:
+            self.words.clear()
+        cores = {m[1] if self.words.apart and (m := LETTERS(w)) is not None else w for w in new}
+        self.learn(w for w in cores.difference(self.words) if w.isalpha() and len(w) <= LONG)
+        return [self.packed(t) for t in texts]
+
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.packed(text), np.int32).tolist()
 
-    def decode(self, ids: Iterable[int]) -> str:
+    def decode(self, ids: list[int]) -> str:
+        try:
+            text = "".join([self.shown[i] for i in ids])
+        except KeyError:  # bytes, control ids, the unknown one, or none of the model's
+            text = self.spelled(ids)
+        return text[1:] if text[:1] == " " else text
+
+    def spelled(self, ids: Iterable[int]) -> str:
         out: list[str] = []
         raw = bytearray()
         for i in ids:
@@ -244,8 +302,7 @@ class PieceModel:
                 out.append(self.piece[i])
         if raw:
             out.append(raw.decode("utf-8", "replace"))
-        text = "".join(out).replace(SPACE, " ")
-        return text[1:] if text[:1] == " " else text
+        return "".join(out).replace(SPACE, " ")
 
 
 def _coder(model: bytes) -> PieceModel:
@@ -262,23 +319,32 @@ def _model(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(f.read())  # a vocabulary file: its size is fixed
 
 
-def encode(df: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+def encode(df: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids", check_col: str | None = None) -> DataFrame:
     """Adds ids array<int>, n_tokens int: whole texts, null as an empty one (no ids).
 
-    A text longer than any window is streamed; only its ids are held. A literal U+2581 in
-    a text reads as a space when decoded, as with the library. All other columns stay.
+    With ``check_col`` also whether decoding the ids gives the text back (for null: the empty
+    one), found where the text is encoded. A text longer than any window is streamed; only its
+    ids are held. A literal U+2581 in a text reads as a space when decoded, as with the
+    library. All other columns stay.
     """
     model = _model(df.sparkSession, model_path)
-    rest = [c for c in df.columns if c not in (ids_col, "n_tokens")]
+    rest = [c for c in df.columns if c not in (ids_col, "n_tokens", check_col)]
     kinds = {f.name: f.dataType.simpleString() for f in df.schema}
 
     def run(cols: dict) -> dict:
         coder = _coder(model.value)
-        ids = [coder.encode(t) if t else [] for t in cols[text_col].to_pylist()]
-        return {c: cols[c] for c in rest} | {ids_col: ids, "n_tokens": [len(x) for x in ids]}
+        texts = [t or "" for t in cols[text_col].to_pylist()]
+        raw = coder.packed_all(texts)
+        flat = np.frombuffer(b"".join(raw), np.int32)
+        n = np.array([len(x) // 4 for x in raw], np.int32)
+        ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(flat))
+        out = {c: cols[c] for c in rest} | {ids_col: ids, "n_tokens": n}
+        if check_col:
+            out[check_col] = [coder.decode(np.frombuffer(x, np.int32).tolist()) == t for x, t in zip(raw, texts, strict=True)]
+        return out
 
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in rest)
-    return map_rows(df.select(*rest), f"{schema}, `{ids_col}` array<int>, n_tokens int", run)
+    schema = "".join(f"`{c}` {kinds[c]}, " for c in rest) + f"`{ids_col}` array<int>, n_tokens int" + (f", `{check_col}` boolean" if check_col else "")
+    return map_rows(df.select(*rest), schema, run)
 
 
 def decode(df: DataFrame, model_path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -301,7 +367,6 @@ def default_model() -> str:
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, ids, n_tokens and whether decoding the ids gives the text back."""
+    """doc_id, ids, n_tokens and whether decoding the ids gives the text back, for every row."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    both = decode(encode(docs, default_model()), default_model())
-    return both.select("doc_id", "ids", "n_tokens", (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("round_trip"))
+    return encode(docs, default_model(), check_col="round_trip").select("doc_id", "ids", "n_tokens", "round_trip")

@@ -63,6 +63,45 @@ def test_streaming_search_is_the_library_s():
         assert m.decode(m.encode(t)) == t
 
 
+def unigram_model(path):
+    """A unigram model file of made-up pieces and scores (nothing is trained)."""
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    m = pb.ModelProto()
+    rng = random.Random(12)
+    units = ["\u2581", *"abcdef"]
+    pieces_ = ["<unk>", *units, *sorted({"".join(rng.choices(units[1:], k=rng.randrange(2, 6))) for _ in range(60)}), *sorted({"\u2581" + "".join(rng.choices(units[1:], k=rng.randrange(1, 4))) for _ in range(40)})]
+    for i, p in enumerate(pieces_):
+        x = m.pieces.add()
+        x.piece, x.score, x.type = p, -rng.uniform(1, 9) - 3 * (len(p) == 1), 2 if i == 0 else 1
+    m.trainer_spec.model_type, m.trainer_spec.vocab_size = 1, len(pieces_)
+    m.normalizer_spec.name, m.normalizer_spec.add_dummy_prefix, m.normalizer_spec.remove_extra_whitespaces, m.normalizer_spec.escape_whitespaces = "identity", True, False, True
+    path.write_bytes(m.SerializeToString())
+    return str(path)
+
+
+def test_unigram_streams_find_the_best_sum(tmp_path):
+    pytest.importorskip("google.protobuf")
+    m = pieces.PieceModel(open(unigram_model(tmp_path / "u.model"), "rb").read())
+    assert not m.bpe
+    rng = random.Random(13)
+    for n in (1, 5, 40, 400, 3000):
+        t = "".join(rng.choices("abcdef ", k=n)).strip() or "a"
+        ids = m.encode(t)
+        best = lambda x: sum(m.sp.get_score(i) for i in x)
+        assert m.decode(ids) == t and abs(best(ids) - best(m.sp.encode(t))) < 1e-2
+        assert m.packed_all([t, t])[1] == m.packed(t)
+
+
+def test_op2_is_the_library_s_on_the_whole_table(spark):
+    m = pieces.PieceModel(open(pieces.default_model(), "rb").read())
+    got = {r.doc_id: r for r in QUERIES["op2_sentencepiece"](spark, SF).collect()}
+    table = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    assert len(got) == len(table)
+    for doc_id, text in table:
+        assert got[doc_id].ids == m.sp.encode(text or "") and got[doc_id].n_tokens == len(got[doc_id].ids) and got[doc_id].round_trip
+
+
 def test_golay_keys_meet_within_two_bits():
     rng = random.Random(2)
     for _ in range(60):
