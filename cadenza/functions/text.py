@@ -80,11 +80,11 @@ def array_median(values: Column, default: float = 0.0) -> Column:
     return F.when(F.size(values) > 0, let(F.array_sort(values), middle)).otherwise(F.lit(default)).cast("double")
 
 
-def error_summary(message: Column) -> Column:
-    """One line for an operator from an error message."""
+def error_summary(message: Column, model: str = "") -> Column:
+    """One line for an operator from an error message; model: the name to show."""
     # The reported texts.
     return (
-        F.when(message.contains("os error 1455") | message.contains("页面文件太小"), "Windows提交内存不足（错误1455：页面文件太小），VoxCPM2模型未能载入")
+        F.when(message.contains("os error 1455") | message.contains("页面文件太小"), f"Windows提交内存不足（错误1455：页面文件太小），{model}模型未能载入")
         .when(message.contains("CUDA") & (F.lower(message).contains("out of memory") | message.contains("内存")), "GPU显存不足，模型进程未能完成")
         .otherwise(F.substring(F.split(message, LINE_BREAK)[0], 1, 1000))
     )

@@ -51,7 +51,7 @@ def coalesce_intervals(intervals: DataFrame, key: str, start: str, end: str) ->
     w = Window.partitionBy(key).orderBy(start, end)
     before = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
     new = F.when(before.isNull() | (F.col(start) > before), 1).otherwise(0)
-    g = intervals.select(key, F.col(start).alias("start"), F.col(end).alias("end"), new.alias("new")) if (start, end) == ("start", "end") else intervals.select(key, F.col(start).alias("start"), F.col(end).alias("end"), new.alias("new"))
+    g = intervals.select(key, F.col(start).alias("start"), F.col(end).alias("end"), new.alias("new"))
     g = g.withColumn("g", F.sum("new").over(Window.partitionBy(key).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0)))
     return g.groupBy(key, "g").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("g")
 
@@ -69,9 +69,35 @@ def segment_deletions(segments: DataFrame, deletions: DataFrame, key: str) -> Da
     return both.select(f"s.{key}", "s.seq", lo.cast("long").alias("local_start"), hi.cast("long").alias("local_end"))
 
 
+def kept_ranges(ranges, size):
+    """array<struct<start, end>> (half-open) of what is left of 0 .. size without the ranges, which
+    may overlap; one pass over them in the order of their starts."""
+    empty = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    state = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("kept"))
+
+    def step(s, r):
+        more = F.when(r["start"] > s["at"], F.concat(s["kept"], F.array(F.struct(s["at"].alias("start"), F.least(r["start"], size.cast("long")).cast("long").alias("end"))))).otherwise(s["kept"])
+        return F.struct(F.greatest(s["at"], r["end"].cast("long")).alias("at"), more.alias("kept"))
+
+    last = F.struct(size.cast("long").alias("start"), size.cast("long").alias("end"))
+    plain = F.transform(F.coalesce(ranges, empty), lambda r: F.struct(r["start"].cast("long").alias("start"), r["end"].cast("long").alias("end")))
+    return F.filter(F.aggregate(F.concat(F.sort_array(plain), F.array(last)), state, step)["kept"], lambda r: r["end"] > r["start"])
+
+
 def remove_ranges(array, ranges):
-    """The array without the positions (from 0) in array<struct<start, end>>."""
-    return F.filter(array, lambda x, i: ~F.exists(ranges, lambda r: (i >= r["start"]) & (i < r["end"])))
+    """The array without the positions (from 0) in array<struct<start, end>>: what lies between
+    the ranges, put together."""
+    return F.flatten(F.transform(kept_ranges(ranges, F.size(array)), lambda r: F.slice(array, r["start"].cast("int") + 1, (r["end"] - r["start"]).cast("int"))))
+
+
+def refuse_loud(edits: DataFrame, clips: DataFrame, key: str, samples: str = "samples", level: float = LEVEL) -> DataFrame:
+    """The edits, held against the clips' samples: one that would delete a sample at or above
+    level raises, as what the scan took for silence is not."""
+    both = edits.join(clips.select(key, F.col(samples).alias("__x")), key)
+    loud = F.exists(F.slice("__x", (F.col("delete_start_frame") + 1).cast("int"), F.col("deleted_frames").cast("int")), lambda x: F.abs(x.cast("double")) >= level)
+    told = F.format_string("a silence holds audible samples, nothing is cut: %.3f-%.3f seconds", "start_seconds", "end_seconds")
+    held = F.when(F.coalesce(loud, F.lit(False)), F.raise_error(told).cast("long")).otherwise(F.col("deleted_frames"))
+    return both.withColumn("deleted_frames", held).drop("__x")
 
 
 def residual(intervals: DataFrame, rate: int = RATE, limit_ms: float = 200.0) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cadenza.functions import text as X
 from cadenza.operators import acoustic, alignment, evaluate, selection, silence
+from cadenza.operators import assembly as assembly_
 from cadenza.sources import segments as S
 
 QUERIES: dict = {}
@@ -382,3 +383,158 @@ def known_substitution(spark, sf_dir):
 @query()
 def spectral_summary(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select("vec_id", acoustic.spectra(F.col("embedding"), 16000).alias("s")).select("vec_id", "s.*")
+
+
+# Units of a made-up recognition: one CJK character and maybe a mark for each event of a user. Some
+# users speak too fast for a while, have no recognized text, half of the stamps, or odd audio.
+UNITS_SQL = """
+WITH e AS (SELECT user_id, event_id, row_number() OVER o - 1 AS i, count(*) OVER (PARTITION BY user_id) AS n FROM events WINDOW o AS (PARTITION BY user_id ORDER BY ts, event_id)),
+d AS (SELECT user_id, i, n, user_id % 10 AS u, user_id,
+      CASE WHEN event_id % 7 = 0 THEN 'sentence' WHEN event_id % 5 = 0 THEN 'comma' END AS kind,
+      CASE WHEN user_id % 10 = 2 AND i BETWEEN 3 AND 12 THEN 30 ELSE 90 + event_id % 40 END AS held,
+      CASE WHEN user_id % 10 = 2 AND i BETWEEN 3 AND 12 THEN 5 WHEN event_id % 29 = 0 THEN 950 WHEN event_id % 31 = 0 THEN 1700 ELSE 20 + event_id % 60 END AS gap FROM e),
+t AS (SELECT *, coalesce(sum(held + gap) OVER (PARTITION BY user_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a, CASE WHEN u = 0 THEN n // 2 ELSE n END AS m FROM d),
+s AS (SELECT *, a + held AS b, i < m AS stamped, i < m AND u <> 7 AS mapped FROM t),
+"""
+
+
+def _spoken(spark, sf_dir) -> DataFrame:
+    """Worker results of the same, with the reference's rate in ref."""
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", (F.row_number().over(w) - 1).alias("i"))
+    u, k = F.col("user_id") % 10, F.col("event_id")
+    fast = (u == 2) & F.col("i").between(3, 12)
+    gap = F.when(fast, 5).when(k % 29 == 0, 950).when(k % 31 == 0, 1700).otherwise(20 + k % 60)
+    unit = F.decode(F.unhex(F.hex(F.lit(19968) + k % 2000)), "UTF-16BE")
+    mark = F.when(k % 7 == 0, "。").when(k % 5 == 0, "，").otherwise("")
+    d = e.select("user_id", "i", unit.alias("unit"), mark.alias("mark"), F.when(fast, 30).otherwise(90 + k % 40).cast("int").alias("held"), gap.cast("int").alias("gap"))
+    d = d.withColumn("a", F.coalesce(F.sum(F.col("held") + F.col("gap")).over(Window.partitionBy("user_id").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("int"))
+    c = d.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("i", "unit", "mark", "a", (F.col("a") + F.col("held")).alias("b")))).alias("x"))  # one segment's units
+    stamps = F.transform("x", lambda r: F.array(r["a"], r["b"]))
+    half = lambda n, c, h, r: {n: F.struct(r.alias("rms_db"), c.alias("spectral_centroid_hz"), h.alias("high_frequency_ratio_4khz"))}
+    dark = u == 6
+    halves = half("first_half", F.lit(2000.0), F.lit(0.2), F.lit(-20.0)) | half("second_half", F.when(dark, 1000.0).otherwise(1900.0), F.when(dark, 0.05).otherwise(0.19), F.when(u == 8, -35.0).otherwise(-21.0))
+    plain = {"sample_rate": F.when(u == 1, 44100).otherwise(48000), "channels": F.when(u == 9, 2).otherwise(1), "duration_seconds": F.when(u == 3, 0.2).when(u == 4, 3.0).otherwise(6.0), "clipping_fraction": F.when(u == 5, 0.002).otherwise(0.0)}
+    ac = F.from_json(F.to_json(F.struct(*(v.alias(n) for n, v in (plain | halves).items()))), evaluate.ACOUSTIC)
+    return c.select(
+        F.col("user_id").cast("string").alias("segment_id"), F.array_join(F.transform("x", lambda r: F.concat(r["unit"], r["mark"])), "").alias("target_text"), F.lit("").alias("audio_path"),
+        F.lit(0).cast("long").alias("seed"), F.when(u == 7, "").otherwise(F.array_join(F.transform("x", lambda r: r["unit"]), "")).alias("recognized_text"),
+        F.when(u == 0, F.slice(stamps, F.lit(1), F.floor(F.size("x") / 2).cast("int"))).otherwise(stamps).alias("timestamps_ms"), ac.alias("acoustic"), F.lit(None).cast("string").alias("error"),
+        (1.0 + F.col("user_id") % 5).alias("ref"),
+    )
+
+
+RULES_SQL = UNITS_SQL + """
+p AS (SELECT user_id, kind, held, greatest(0, lead(a) OVER w - b) AS gap, mapped AND coalesce(lead(mapped) OVER w, false) AS ok FROM s WINDOW w AS (PARTITION BY user_id ORDER BY i)),
+g AS (SELECT user_id, median(gap) AS med FROM p WHERE ok AND kind IS NULL GROUP BY user_id),
+h AS (SELECT p.user_id, any_value(med) AS med, median(abs(gap - med)) AS mad, max(gap) AS longest FROM p JOIN g USING (user_id) WHERE ok AND kind IS NULL GROUP BY p.user_id),
+x AS (SELECT user_id, held, gap, kind, ok, kind IS NOT NULL AND gap < (CASE kind WHEN 'sentence' THEN 100 ELSE 40 END) AND held + gap < 240 AS short, gap > (CASE kind WHEN 'sentence' THEN 1600 ELSE 900 END) AS long FROM p),
+y AS (SELECT s.user_id, count(*) FILTER (ok AND x.kind IS NULL AND gap > greatest(280.0, coalesce(med, 0) + 4.0 * coalesce(mad, 0))) AS odd,
+      count(*) FILTER (ok AND x.kind IS NOT NULL AND short) AS short, count(*) FILTER (ok AND x.kind IS NOT NULL AND NOT short AND long) AS long,
+      coalesce(any_value(med), 0.0) AS med, coalesce(any_value(mad), 0.0) AS mad, coalesce(any_value(longest), 0.0) AS longest
+      FROM (SELECT DISTINCT user_id FROM s) s LEFT JOIN x ON s.user_id = x.user_id LEFT JOIN h ON s.user_id = h.user_id GROUP BY s.user_id),
+f AS (SELECT user_id, i, count(*) OVER k AS size, bool_and(mapped) OVER k AS whole, a, last_value(b) OVER k AS e FROM s WINDOW k AS (PARTITION BY user_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 5 FOLLOWING)),
+v AS (SELECT user_id, i, CASE WHEN whole AND e > a THEN 6 / ((e - a) / 1000.0) ELSE 0.0 END AS rate FROM f WHERE size = 6),
+vm AS (SELECT user_id, median(rate) FILTER (rate > 0) AS med FROM v GROUP BY user_id),
+r AS (SELECT v.user_id, i, CASE WHEN rate > 0 THEN rate / med ELSE 0.0 END AS ratio FROM v JOIN vm USING (user_id)),
+c AS (SELECT user_id, max(ratio) AS fastest, bool_or(two) AS twice FROM (SELECT user_id, ratio, ratio > 1.45 AND lag(ratio) OVER (PARTITION BY user_id ORDER BY i) > 1.45 AS two FROM r) GROUP BY user_id),
+z AS (SELECT user_id, any_value(u) AS u, any_value(n) AS n, count(*) FILTER (mapped) / any_value(n) AS coverage, CASE WHEN any_value(u) = 7 THEN 1.0 ELSE 0.0 END AS cer,
+      CASE WHEN count(*) FILTER (stamped) >= 2 THEN count(*) FILTER (stamped) / ((max(b) FILTER (stamped) - min(a) FILTER (stamped)) / 1000.0) ELSE 0.0 END AS rate FROM s GROUP BY user_id),
+q AS (SELECT z.*, 1.0 + z.user_id % 5 AS ref, y.* EXCLUDE (user_id), coalesce(c.fastest, 0.0) AS fastest, coalesce(c.twice, false) AS twice,
+      CASE u WHEN 3 THEN 0.2 WHEN 4 THEN 3.0 ELSE 6.0 END AS seconds FROM z JOIN y USING (user_id) LEFT JOIN c USING (user_id)),
+w AS (SELECT *, list_filter([
+      CASE WHEN coverage < 0.70 THEN '逐字时间戳覆盖不足' END, CASE WHEN odd > 0 THEN '句内异常停顿' END, CASE WHEN short > 0 THEN '标点停顿过短' END, CASE WHEN long > 0 THEN '标点停顿过长' END,
+      CASE WHEN twice THEN '局部语速异常' END, CASE WHEN cer > 0.12 THEN '转写差异过大' END, CASE WHEN u = 7 AND n >= 2 THEN '存在连续漏字、错字或重复' END, CASE WHEN seconds < 0.35 THEN '音频为空或过短' END,
+      CASE WHEN u IN (1, 9) THEN '音频格式异常' END, CASE WHEN u = 5 THEN '音频削波' END, CASE WHEN rate > 0 AND (rate < 2 OR rate > 7) THEN '整体语速异常' END,
+      CASE WHEN rate > 0 AND rate / ref > 1.5 THEN '整体语速明显快于参考' END, CASE WHEN seconds >= 4 AND u = 6 THEN '后半段频谱明显变暗' END, CASE WHEN seconds >= 4 AND u = 8 THEN '后半段响度异常下降' END], lambda t: t IS NOT NULL) AS failures FROM q)
+"""
+
+
+@query(RULES_SQL + """SELECT CAST(user_id AS VARCHAR) AS segment_id, array_to_string(failures, '|') AS failures, len(failures) = 0 AS passed, CAST(cer AS DOUBLE) AS cer, round(coverage, 6) AS coverage, round(med, 6) AS gap_median, round(mad, 6) AS gap_mad,
+round(greatest(280.0, med + 4.0 * mad), 6) AS gap_limit, CAST(longest AS DOUBLE) AS longest_gap, round(fastest, 6) AS fastest, round(rate, 6) AS rate FROM w""")
+def rules_on_events(spark, sf_dir):
+    """evaluate() as a whole: its fourteen rules on a candidate's own row, and their figures."""
+    s = _spoken(spark, sf_dir)
+    m = lambda n: F.col(f"metrics.{n}")
+    return evaluate.evaluate(s, reference_rate=F.col("ref")).select(
+        "segment_id", F.array_join("hard_failures", "|").alias("failures"), "passed", m("cer").alias("cer"), six(m("timestamp_coverage")).alias("coverage"), six(m("internal_gap_median_ms")).alias("gap_median"),
+        six(m("internal_gap_mad_ms")).alias("gap_mad"), six(m("internal_gap_threshold_ms")).alias("gap_limit"), m("maximum_internal_gap_ms").cast("double").alias("longest_gap"), six(m("maximum_speed_ratio")).alias("fastest"), six(m("overall_speech_rate")).alias("rate"),
+    )
+
+
+@query(RULES_SQL + """SELECT CAST(user_id AS VARCHAR) AS segment_id, CAST(odd AS INTEGER) AS abnormal, CAST(short AS INTEGER) AS short, CAST(long AS INTEGER) AS long,
+CAST(len(failures) AS DOUBLE) AS first_score, round(fastest, 6) AS fourth_score FROM w""")
+def pause_rules_on_events(spark, sf_dir):
+    """The pauses that evaluate() lists, by kind, and the score's parts that depend on them."""
+    c = evaluate.evaluate(_spoken(spark, sf_dir), reference_rate=F.col("ref"))
+    size = lambda n: F.size(F.col(f"metrics.{n}"))
+    return c.select("segment_id", size("abnormal_gaps").alias("abnormal"), size("short_punctuation_gaps").alias("short"), size("long_punctuation_gaps").alias("long"), F.col("score")[0].alias("first_score"), six(F.col("score")[3]).alias("fourth_score"))
+
+
+ASSEMBLY_SQL = f"""
+WITH c AS (SELECT coalesce(label, -1) AS label, vec_id, len(embedding) AS n, embedding AS x FROM embeddings WHERE embedding IS NOT NULL),
+l AS (SELECT label, vec_id, n, x, CAST(coalesce(sum(n) OVER (PARTITION BY label ORDER BY vec_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS a FROM c),
+u AS (SELECT label, vec_id, n, a, unnest(x) AS v, unnest(range(n)) AS i FROM l)
+"""
+
+
+def _clips(spark, sf_dir) -> DataFrame:
+    e = table(spark, sf_dir, "embeddings").where("embedding IS NOT NULL")
+    return e.select(F.coalesce("label", F.lit(-1)).alias("label"), F.col("vec_id").alias("seq"), F.col("vec_id").alias("segment_id"), F.col("embedding").alias("samples"))
+
+
+@query(ASSEMBLY_SQL + f"""SELECT label, vec_id, a AS start_frame, a + n AS end_frame, true AS kept,
+CAST(coalesce(sum(CASE WHEN abs(v) >= CAST({LEVEL} AS FLOAT) THEN a + i ELSE 0 END), 0) AS BIGINT) AS loud_places FROM u GROUP BY label, vec_id, a, n""")
+def assembly(spark, sf_dir):
+    """Clips laid end to end, each held against the whole recording; loud_places sums the places of
+    loud samples in the recording."""
+    line = assembly_.assemble(_clips(spark, sf_dir), ["label"])
+    seen = assembly_.verify_assembly(line, assembly_.join_clips(_clips(spark, sf_dir), ["label"]), ["label"])
+    loud = F.aggregate(F.transform("samples", lambda x, i: F.when(F.abs(x) >= F.lit(LEVEL).cast("float"), F.col("start_frame") + i).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda s, x: s + x)
+    return seen.select("label", F.col("seq").alias("vec_id"), "start_frame", "end_frame", "kept", loud.alias("loud_places"))
+
+
+@query(ASSEMBLY_SQL + """, d AS (SELECT label, a + 5 + CAST(vec_id % 40 AS BIGINT) AS s, a + 5 + CAST(vec_id % 40 AS BIGINT) + 1 + CAST(vec_id % 90 AS BIGINT) AS e FROM l WHERE vec_id % 3 = 0),
+g AS (SELECT label, vec_id, n, a, i, EXISTS (SELECT 1 FROM d WHERE d.label = u.label AND a + i >= s AND a + i < e) AS gone FROM u),
+k AS (SELECT label, vec_id, a, any_value(n) AS n, count(*) FILTER (NOT gone) AS left_ FROM g GROUP BY label, vec_id, a)
+SELECT label, vec_id, a AS original_start_frame, a + n AS original_end_frame, CAST(left_ AS BIGINT) AS frames,
+CAST(coalesce(sum(left_) OVER (PARTITION BY label ORDER BY vec_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_frame FROM k""")
+def post_edit_timeline(spark, sf_dir):
+    """The timeline after deletions that may overlap and reach into the next clip."""
+    line = assembly_.assemble(_clips(spark, sf_dir), ["label"])
+    a = F.col("start_frame") + 5 + F.col("seq") % 40
+    cuts = line.where("seq % 3 = 0").select("label", a.cast("long").alias("start"), (a + 1 + F.col("seq") % 90).cast("long").alias("end"))
+    return assembly_.after_edits(line, cuts, "label").select("label", F.col("seq").alias("vec_id"), "original_start_frame", "original_end_frame", "frames", "start_frame")
+
+
+@query("""
+WITH i AS (SELECT user_id, epoch_us(ts) // 1000000 % 500000 AS a, epoch_us(ts) // 1000000 % 500000 + 900 + CAST(event_id % 7200 AS BIGINT) AS b FROM events),
+d AS (SELECT user_id, a + 1000 AS a, least(b, 500000) AS b FROM i WHERE least(b, 500000) - a > 1200),
+n AS (SELECT user_id, a, b, coalesce(max(b) OVER (PARTITION BY user_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS done FROM d),
+k AS (SELECT user_id, done AS start, a AS "end" FROM n WHERE a > done UNION ALL SELECT user_id, max(b), 500000 FROM d GROUP BY user_id HAVING max(b) < 500000)
+SELECT user_id, CAST(start AS BIGINT) AS start, CAST("end" AS BIGINT) AS "end" FROM k""")
+def kept_ranges(spark, sf_dir):
+    """What is left of a recording of 500,000 frames after overlapping silences were cut."""
+    s = F.floor(us() / 1000000).cast("long") % 500000
+    i = table(spark, sf_dir, "events").select("user_id", F.lit(500000).alias("n_frames"), s.alias("start"), (s + 900 + F.col("event_id") % 7200).alias("end"))
+    e = silence.silence_edits(i, "user_id", rate=1000, threshold_ms=1200, target_ms=1000)
+    lists = e.groupBy("user_id").agg(F.collect_list(F.struct(F.col("delete_start_frame").alias("start"), F.col("delete_end_frame").alias("end"))).alias("d"))  # one recording's edits
+    return lists.select("user_id", F.inline(silence.kept_ranges(F.col("d"), F.lit(500000))))
+
+
+@query("""
+WITH t AS (SELECT conv_id, turn, text, length(text) AS n, coalesce(sum(length(text)) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a FROM conversations)
+SELECT conv_id, turn, CASE WHEN turn % 4 = 1 THEN printf('edited/%d-%d.wav', conv_id, turn) ELSE printf('round/%d-%d.wav', conv_id, turn) END AS audio_path, CAST(20235791 + (turn % 3) * 104729 AS BIGINT) AS seed,
+CAST(turn % 3 AS INTEGER) AS round_index, round(n / 48000, 6) AS duration_seconds, round(a / 48000, 6) AS start_seconds, true AS postprocessed FROM t""")
+def review_list(spark, sf_dir):
+    """Segments with their selected clips, edited clips first, and their places."""
+    from cadenza.sources.worker import seed_of_round
+
+    t = turns(spark, sf_dir).select("conv_id", "turn", F.col("turn").alias("seq"), "text")
+    name = lambda f: F.format_string(f, "conv_id", "turn").alias("audio_path")
+    r = (F.col("turn") % 3).cast("int")
+    chosen = t.select("conv_id", "turn", name("round/%d-%d.wav"), seed_of_round(r).alias("seed"), r.alias("round_index"))
+    line = selection.timeline(t.select("conv_id", "turn", "seq", F.length("text").alias("frames")), ["conv_id"]).withColumn("sample_sha256", F.lit(""))
+    edited = t.where("turn % 4 = 1").select("conv_id", "turn", name("edited/%d-%d.wav"))
+    out = assembly_.review_rows(t, chosen, line, edited, ("conv_id", "turn"))
+    return out.select("conv_id", "turn", "audio_path", "seed", "round_index", six(F.col("duration_seconds")).alias("duration_seconds"), six(F.col("final_start_seconds")).alias("start_seconds"), "postprocessed")

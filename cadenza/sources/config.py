@@ -57,6 +57,14 @@ def missing_paths(config: dict, files: tuple[str, ...] = ("input_text",), folder
 
 
 def process_exists(pid: int) -> bool:
+    if pid <= 0:
+        return False
+    if os.name == "nt":
+        import ctypes
+
+        # Fixed value: the right to ask about a process, and no more.
+        handle = ctypes.windll.kernel32.OpenProcess(0x1000, False, pid)
+        return bool(handle and ctypes.windll.kernel32.CloseHandle(handle) is not None)
     try:
         os.kill(pid, 0)
     except ProcessLookupError:

@@ -55,7 +55,7 @@ def normalize_timestamps(pairs: Column) -> Column:
 
 
 def decode_wav(data: bytes) -> tuple[int, np.ndarray]:
-    """(rate, frames x channels float32) of a RIFF file of floats or 16-bit integers."""
+    """(rate, frames x channels float32) of a RIFF file of 32-bit floats, or of 16- or 32-bit integers."""
     if data[:4] != b"RIFF" or data[8:12] != b"WAVE":
         raise ValueError("not a RIFF WAVE file")
     at, rate, channels, kind, bits = 12, 0, 0, 0, 0
@@ -65,11 +65,13 @@ def decode_wav(data: bytes) -> tuple[int, np.ndarray]:
             kind, channels, rate, _, _, bits = struct.unpack_from("<HHIIHH", data, at + 8)
         elif name == b"data":
             raw = data[at + 8 : at + 8 + size]
-            if bits == 32:
+            if bits == 32 and kind == 3:
                 return rate, np.frombuffer(raw, "<f4").reshape(-1, channels)
-            if bits == 16:
+            if bits == 16 and kind == 1:
                 return rate, (np.frombuffer(raw, "<i2") / np.float32(32768)).astype(np.float32).reshape(-1, channels)
-            raise ValueError(f"{bits}-bit samples are not supported")
+            if bits == 32 and kind == 1:
+                return rate, (np.frombuffer(raw, "<i4") / np.float64(1 << 31)).astype(np.float32).reshape(-1, channels)
+            raise ValueError(f"{bits}-bit samples of format {kind} are not supported")
         at += 8 + size + size % 2
     raise ValueError("no samples")
 
@@ -116,16 +118,13 @@ def write_csv_with_bom(path: str, columns: list[str], rows: Iterable[dict]) -> N
     Path(path).write_text(out.getvalue(), encoding="utf-8-sig", newline="")
 
 
-def write_results(results: DataFrame, path: str) -> None:
-    """The worker envelope as JSON lines files."""
-    results.write.mode("errorifexists").json(path)
-
-
-def write_report(path: str, count: int, lines: Iterable[str], totals: dict, final: str | None = None) -> None:
-    """The wording of the report's first and last lines."""
+def write_report(path: str, count: int, lines: Iterable[str], totals: dict, final: str | None = None, check: list[str] | None = None, review: dict[str, str] | None = None) -> None:
+    """check: details of what the whole recording failed (empty: it passed; None: not checked);
+    review: what export_review() returned. Fixed values: the wording."""
+    told = [] if check is None else [f"最终整条质检：{'未通过：' + '、'.join(check) if check else '通过'}", ""]
     head = ["音频质量报告", "", f"本次生成块数：{count}段", ""]
-    tail = [f"首次检测未达标：{totals['initially_failed']}段", f"未达标音频：{totals['finally_failed']}段", f"总重新生成次数：{totals['regenerations']}次", f"最终音频：{final or '未交付'}", "逐段审听目录：未交付", "逐段审听清单：未交付"]
-    Path(path).write_text("\n".join([*head, *lines, *tail]) + "\n", encoding="utf-8")
+    tail = [f"首次检测未达标：{totals['initially_failed']}段", f"未达标音频：{totals['finally_failed']}段", f"总重新生成次数：{totals['regenerations']}次", f"最终音频：{final or '未交付'}", f"逐段审听目录：{review['review_dir'] if review else '未交付'}", f"逐段审听清单：{review['manifest_path'] if review else '未交付'}"]
+    Path(path).write_text("\n".join([*head, *lines, *told, *tail]) + "\n", encoding="utf-8")
 
 
 def manifest_json(items: Iterable[dict]) -> str:
