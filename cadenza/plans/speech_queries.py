@@ -525,7 +525,7 @@ def kept_ranges(spark, sf_dir):
 @query("""
 WITH t AS (SELECT conv_id, turn, text, length(text) AS n, coalesce(sum(length(text)) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a FROM conversations)
 SELECT conv_id, turn, CASE WHEN turn % 4 = 1 THEN printf('edited/%d-%d.wav', conv_id, turn) ELSE printf('round/%d-%d.wav', conv_id, turn) END AS audio_path, CAST(20235791 + (turn % 3) * 104729 AS BIGINT) AS seed,
-CAST(turn % 3 AS INTEGER) AS round_index, round(n / 48000, 6) AS duration_seconds, round(a / 48000, 6) AS start_seconds, true AS postprocessed FROM t""")
+CAST(turn % 3 AS INTEGER) AS round_index, CAST(n AS BIGINT) AS frames, CAST(a AS BIGINT) AS start_frame, true AS postprocessed FROM t""")
 def review_list(spark, sf_dir):
     """Segments with their selected clips, edited clips first, and their places."""
     from cadenza.sources.worker import seed_of_round
@@ -537,4 +537,4 @@ def review_list(spark, sf_dir):
     line = selection.timeline(t.select("conv_id", "turn", "seq", F.length("text").alias("frames")), ["conv_id"]).withColumn("sample_sha256", F.lit(""))
     edited = t.where("turn % 4 = 1").select("conv_id", "turn", name("edited/%d-%d.wav"))
     out = assembly_.review_rows(t, chosen, line, edited, ("conv_id", "turn"))
-    return out.select("conv_id", "turn", "audio_path", "seed", "round_index", six(F.col("duration_seconds")).alias("duration_seconds"), six(F.col("final_start_seconds")).alias("start_seconds"), "postprocessed")
+    return out.select("conv_id", "turn", "audio_path", "seed", "round_index", F.rint(F.col("duration_seconds") * 48000).cast("long").alias("frames"), F.rint(F.col("final_start_seconds") * 48000).cast("long").alias("start_frame"), "postprocessed")
