@@ -84,8 +84,12 @@ def _array(values, kind: pa.DataType) -> pa.Array:
 
 def process_memory(name: str) -> dict:
     """A dict that lives as long as the Python worker, which serves many tasks: code is sent
-    to workers by value, so globals of these modules begin anew with every task."""
-    return vars(sys.modules["pyspark"]).setdefault("_cadenza_memory", {}).setdefault(name, {})
+    to workers by value, so globals of these modules begin anew with every task. What another
+    name has kept is dropped: a worker runs one operator's tasks at a time."""
+    held = vars(sys.modules["pyspark"]).setdefault("_cadenza_memory", {})
+    if name not in held:
+        held.clear()
+    return held.setdefault(name, {})
 
 
 def bit_filter(keys: DataFrame, bits: int) -> np.ndarray:

@@ -28,6 +28,8 @@ SHINGLE, THRESHOLD = 8, 0.8
 GRID, CLASSES = 4, 4
 #: Words of 64 bits in a sketch; a power of two.
 WORDS = 32
+#: What a blank line may hold.
+BLANK = " \t\r\x0b\x0c"
 #: Bits of line_id below its count of copies.
 ID_BITS = 53
 
@@ -83,24 +85,32 @@ def _lines(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("hash"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
 
 
-def _key(line: Column) -> Column:
-    return F.unhex(F.md5(line.cast("binary")))
+def _key(line: Column) -> list[Column]:
+    """128 bits of a line as two numbers, so that what is grouped by them needs no sort."""
+    return [F.xxhash64(line).alias("k1"), F.xxhash64(F.lit(1), line).alias("k2")]
+
+
+def _filled(line: Column) -> Column:
+    """Whether a line has more than spaces, tabs, carriage returns, vertical tabs and form feeds."""
+    return F.trim(line, F.lit(BLANK)) != ""
 
 
 def signatures(docs: DataFrame, k: int = SHINGLE, grid: int = GRID, classes: int = CLASSES) -> DataFrame:
-    """(line_id, key, first: struct<none, doc_id, hash, pos>, copies, bands: array<long>) of every
+    """(line_id, k1, k2, first: struct<none, doc_id, hash, pos>, copies, bands: array<long>) of every
     different line that is not blank, stored. A smaller line_id has more copies.
 
-    Equal lines meet in one shuffle; the shingles are made and reduced where they met.
+    Equal lines meet in one shuffle; the shingles are made and reduced where they met, in a hash
+    map whose keys and values all have a fixed width.
     """
-    lines = _lines(docs).where(F.trim("line") != "")
-    once = lines.groupBy(_key(F.col("line")).alias("key")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", "pos")).alias("first"), F.any_value("line").alias("line"), F.count("*").alias("copies"))
-    s = once.select("key", "first", "copies", _units(F.col("line")).alias("u"))
-    s = s.select("key", "first", "copies", "u", F.explode(_places(F.col("u"), k)).alias("i")).select("key", "first", "copies", _shingle(F.col("u"), F.col("i"), k).alias("h"))
-    least = s.groupBy("key", "first", "copies").agg(*(F.min(F.col("h").bitwiseXOR(F.lit(p))).alias(f"s{j}") for j, p in enumerate(_points(grid * grid))))
+    place = ("none", "doc_id", "hash", "pos")
+    lines = _lines(docs).where(_filled(F.col("line")))
+    once = lines.groupBy(*_key(F.col("line"))).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", "pos")).alias("first"), F.any_value("line").alias("line"), F.count("*").alias("copies"))
+    s = once.select("k1", "k2", *(F.col(f"first.{c}").alias(c) for c in place), "copies", _units(F.col("line")).alias("u"))
+    s = s.select("*", F.explode(_places(F.col("u"), k)).alias("i")).select("k1", "k2", *place, "copies", _shingle(F.col("u"), F.col("i"), k).alias("h"))
+    least = s.groupBy("k1", "k2").agg(*(F.min(F.col("h").bitwiseXOR(F.lit(p))).alias(f"s{j}") for j, p in enumerate(_points(grid * grid))), *(F.first(c).alias(c) for c in (*place, "copies")))
     bands = F.array(*(F.xxhash64(F.lit(b), *(f"s{c}" for c in cells)) for b, cells in enumerate(band_cells(grid, classes))))
     rank = F.shiftleft(1023 - F.least("copies", F.lit(1023)), ID_BITS)
-    return stash(least.select((rank + F.monotonically_increasing_id()).alias("line_id"), "key", "first", "copies", bands.alias("bands")), "line-signatures")
+    return stash(least.select((rank + F.monotonically_increasing_id()).alias("line_id"), "k1", "k2", F.struct(*place).alias("first"), "copies", bands.alias("bands")), "line-signatures")
 
 
 def texts_of(wanted: DataFrame, lines: DataFrame, docs: DataFrame) -> DataFrame:
@@ -151,9 +161,10 @@ def similar_lines(lines: DataFrame, docs: DataFrame, k: int = SHINGLE, threshold
     """(line_id, root): lines in a component with another one, by the component's least line_id."""
     spark = lines.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    b = lines.select("line_id", F.posexplode("bands").alias("nr", "band")).repartition(n, "band")  # one exchange for both uses
-    stats = b.groupBy("band").agg(F.count("*").alias("n"), F.min("line_id").alias("hub")).where("n > 1")
-    live = stash(b.join(stats, "band").select("band", "nr", "line_id", "n", "hub"), "line-buckets")
+    # one exchange for both uses, as both ask for the same columns
+    b = lines.select("line_id", F.posexplode("bands").alias("nr", "band")).repartition(n, "band")
+    stats = b.groupBy("band").agg(F.count("*").alias("n"), F.min("line_id").alias("hub"), F.min("nr").alias("low")).where("n > 1 AND low >= 0").drop("low")
+    live = stash(b.join(stats.hint("shuffle_hash"), "band").select("band", "nr", "line_id", "n", "hub"), "line-buckets")
     release(spark)
     pairs = live.where("line_id <> hub").select(F.col("hub").alias("u"), F.col("line_id").alias("v")).distinct()
     text = texts_of(live.select("line_id"), lines, docs)
@@ -180,13 +191,13 @@ def removed_lines(docs: DataFrame, k: int = SHINGLE, threshold: float = THRESHOL
     lines = signatures(docs, k)
     release(docs.sparkSession)
     roots = similar_lines(lines, docs, k, threshold)
-    named = lines.select("line_id", "key", "first", "copies").join(roots, "line_id", "left").withColumn("root", F.coalesce("root", "line_id"))
+    named = lines.select("line_id", "k1", "k2", "first", "copies").join(roots, "line_id", "left").withColumn("root", F.coalesce("root", "line_id"))
     firsts = named.groupBy("root").agg(F.min("first").alias("kept"), F.sum("copies").alias("all")).where("all > 1")
-    marks = stash(named.join(firsts, "root").select("key", F.col("kept.doc_id").alias("kd"), F.col("kept.hash").alias("kh"), F.col("kept.pos").alias("kp")), "line-marks")
+    marks = stash(named.join(firsts, "root").select("k1", "k2", F.col("kept.doc_id").alias("kd"), F.col("kept.hash").alias("kh"), F.col("kept.pos").alias("kp")), "line-marks")
     unstash(lines)
     release(docs.sparkSession)
-    here = _lines(docs).select("doc_id", "hash", "pos", _key(F.col("line")).alias("key"))
-    gone = here.join(marks, "key").where(~(F.col("doc_id").eqNullSafe(F.col("kd")) & (F.col("hash") == F.col("kh")) & (F.col("pos") == F.col("kp"))))
+    here = _lines(docs).where(_filled(F.col("line"))).select("doc_id", "hash", "pos", *_key(F.col("line")))
+    gone = here.join(marks, ["k1", "k2"]).where(~(F.col("doc_id").eqNullSafe(F.col("kd")) & (F.col("hash") == F.col("kh")) & (F.col("pos") == F.col("kp"))))
     return gone.groupBy("doc_id", "hash").agg(F.collect_set("pos").alias("removed"))  # as many as a text has lines
 
 
@@ -197,7 +208,8 @@ def dedup_lines(docs: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD)
     similarity of their sets of k-character shingles (UTF-16 units; a shorter line is one
     shingle) is ``threshold`` or more; of each component of such lines the first one in the
     order of doc_id and place stays (null ids last, of equal ids by a hash of the text).
-    Blank lines are kept as they are. Null texts stay null with no lines, an empty text has
+    Blank lines (nothing but space, tab, carriage return, vertical tab, form feed) are kept as
+    they are; a line's carriage return is part of it. Null texts stay null with no lines, an empty text has
     one blank line. Equal rows are one document: they keep the same lines. A document all
     of whose lines go stays with an empty text.
     """
@@ -214,4 +226,5 @@ def dedup_lines(docs: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD)
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, text of the kept lines, n_lines and n_removed of every row of documents."""
     return dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))

@@ -48,7 +48,7 @@ SLICES = 2
 #: Strongest words that are averaged.
 STRONGEST = 2
 #: Words, and hashes of texts, that a worker remembers; pairs that a task adds up before they are sent.
-MEMORY, PAIRS = 1 << 19, 1 << 20
+MEMORY, PAIRS = 1 << 18, 1 << 19
 #: What the first word of a text follows.
 START = 0x51ED270B7F3A9C45
 WORDS = re.compile(r"[^\W_]+").findall

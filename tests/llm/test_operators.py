@@ -174,6 +174,12 @@ def test_fuzzy_lines_by_brute_force(spark):
         assert got[i] == "\n".join(kept)
 
 
+def test_blank_lines_stay(spark):
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(docs(spark, [(1, "a b\r\n\r\nc\n \t\n\t"), (2, "a b\r\n\r\nd\n\t"), (3, "a b"), (4, "\n\n")])).collect()}
+    assert got[1].text == "a b\r\n\r\nc\n \t\n\t" and got[2].text == "\r\nd\n\t" and got[3].text == "a b" and got[4].text == "\n\n"
+    assert [got[i].n_removed for i in (1, 2, 3, 4)] == [0, 1, 0, 0]
+
+
 def test_token_store_round_trip(spark, tmp_path):
     from tokenizers import Tokenizer
 
