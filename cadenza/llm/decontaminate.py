@@ -67,7 +67,7 @@ def index(docs: DataFrame, windows: DataFrame, reach: int = WINDOW - 1) -> tuple
     spots = windows.select("item_id", "w", F.posexplode("w").alias("off", "term")).join(freq, "term")
     ranked = spots.groupBy("item_id", "w").agg(F.sort_array(F.collect_list(F.struct("n", "term", "off"))).alias("r"))  # one window's terms
     # a window with a term that no document holds can't occur
-    anchored = stash(ranked.where("r[0].n > 0").select("item_id", "w", F.col("r")[0]["term"].alias("term"), F.col("r")[0]["off"].alias("off"), F.slice("r.off", 2, 100).alias("next")), "test-windows")
+    anchored = stash(ranked.where("r[0].n > 0").select("item_id", "w", F.col("r")[0]["term"].alias("term"), F.col("r")[0]["off"].alias("off"), F.slice("r.off", F.lit(2), F.size("r")).alias("next")), "test-windows")
     anchors = stash(anchored.select("term").distinct(), "anchors")
     b = _blocks(docs, reach)
     here = F.posexplode(F.slice("block", F.col("before") + 1, F.lit(BLOCK)))
@@ -100,6 +100,19 @@ def proximity_matches(postings: DataFrame, anchored: DataFrame, terms: int = 3)
     return postings.join(anchored, "term").where(rest).select("doc_id", "item_id", "pos").distinct()
 
 
+def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, terms: int = 3) -> tuple[DataFrame, DataFrame]:
+    """(phrases, near): phrase_matches() and proximity_matches() of every document and item.
+
+    phrases: doc_id, hash, item_id, start, stop of each occurrence of a window of an item. near:
+    doc_id, item_id, pos of each place of a window's rarest term that has the window's next-rarest
+    terms (``terms`` in all, or as many as it has) within ``window`` - 1 words on either side, in any
+    order. Null and empty texts and items match nothing.
+    """
+    full = docs.select("doc_id", "text").where("text IS NOT NULL")
+    postings, anchored = index(full, stash(benchmark_windows(benchmark, window), "windows"), window - 1)
+    return phrase_matches(postings, anchored), proximity_matches(postings, anchored, terms)
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20) -> DataFrame:
     """doc_id, hash, n_words, n_hit, items (sorted as strings), contaminated of every row.
 
@@ -130,6 +143,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every row of documents; see
+    contamination() for nulls, empty texts and repeated rows."""
     out = contamination(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 

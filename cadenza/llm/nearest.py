@@ -12,7 +12,6 @@ import heapq
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,7 +60,8 @@ def _quantise(m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     scale[scale == 0] = 1  # denormal rows
     code = np.rint(m / scale).astype(np.int8)
     back = code * scale
-    return code.astype(np.float32), scale[:, 0], np.linalg.norm(m - back, axis=1), np.linalg.norm(back, axis=1)
+    # sums of products stay below 2**24, so they are exact in float32, up to 1040 dimensions
+    return code.astype(np.float32 if m.shape[1] <= 1040 else np.float64), scale[:, 0], np.linalg.norm(m - back, axis=1), np.linalg.norm(back, axis=1)
 
 
 def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -79,7 +79,7 @@ def tile(q_ids: np.ndarray, q: np.ndarray, d_ids: np.ndarray, d: np.ndarray, k:
     for lo in range(0, len(q), step):
         qs, ids = q[lo : lo + step], q_ids[lo : lo + step]
         qc, qsc, qe, qn = _quantise(qs)
-        near = (qc @ dc.T).astype(np.float64) * qsc[:, None] * ds  # whole numbers below 2**24: exact in float32
+        near = (qc @ dc.T).astype(np.float64) * qsc[:, None] * ds  # whole numbers, exact
         room = qn[:, None] * de + qe[:, None] * (dn + de)
         room += 1e-12 * (1 + np.abs(near)) + 1e-12 * (qn + qe)[:, None] * (dn + de)
         own = ids[:, None] == d_ids[None, :]
@@ -104,7 +104,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
     Nearness is the inner product of the original vectors in double precision; ties go to
     the smaller id. Null vectors, ones that are empty, zero or hold null or non-finite
     components, and null ids take no part. Vectors of another length than the query's are
-    never its neighbours. Repeated query rows give their lists once; a vector repeated
+    never its neighbours. Repeated query rows give one list (of the least vector); a vector repeated
     under one id counts as often as it occurs.
 
     Plan: both sides are packed into blocks without a shuffle. Each pair of a query block
@@ -113,9 +113,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
     for a query, and these lists are merged by a heap for each query.
     """
     spark = vectors.sparkSession
-    small_batches(spark, 4096)
+    small_batches(spark)
     pick = lambda df: df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
-    q = stash(_pack(pick(queries).dropDuplicates(["id"]), query_block, "q").withColumn("qb", F.monotonically_increasing_id()), "ann-queries")
+    q = stash(_pack(pick(queries).groupBy("id").agg(F.min("v").alias("v")), query_block, "q").withColumn("qb", F.monotonically_increasing_id()), "ann-queries")
     d = stash(_pack(pick(vectors), data_block, "d").withColumn("db", F.monotonically_increasing_id()), "ann-data")
     # block numbers only: one for thousands of vectors
     tiles = q.select("qb", "dims").join(d.select("db", "dims"), "dims")
@@ -134,14 +134,36 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
 
     found = pairs.mapInArrow(run, "query_id long, vec_id long, score double")
 
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        best = heapq.nsmallest(k, zip(-pdf["score"].to_numpy(), pdf["vec_id"].to_numpy(), strict=True))
-        return pd.DataFrame({"query_id": pdf["query_id"].iloc[0], "rank": range(1, len(best) + 1), "vec_id": [int(v) for _, v in best], "score": [-s for s, _ in best]})
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One heap of k for the query at hand; rows come query by query."""
+        now, heap, rows = None, [], []
 
-    return found.groupBy("query_id").applyInPandas(merge, "query_id long, rank int, vec_id long, score double")
+        def done() -> None:
+            rows.extend((now, i, -v, s) for i, (s, v) in enumerate(sorted(heap, key=lambda x: (-x[0], -x[1])), start=1))
+
+        for b in batches:
+            for query, v, s in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                if query != now:
+                    done()
+                    now, heap = query, []
+                if len(heap) < k:
+                    heapq.heappush(heap, (s, -v))
+                else:
+                    heapq.heappushpop(heap, (s, -v))
+            if len(rows) >= 4096:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+                rows.clear()
+        done()
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
+    names, kinds = ["query_id", "rank", "vec_id", "score"], [pa.int64(), pa.int32(), pa.int64(), pa.float64()]
+    return found.repartition("query_id").sortWithinPartitions("query_id").mapInArrow(merge, "query_id long, rank int, vec_id long, score double")
 
 
 def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """query_id, rank, vec_id, score of the 20 nearest others of every vector whose id is divisible
+    by 20, among all rows of embeddings; see nearest() for vectors that take no part."""
     v = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return nearest(v, v.where(F.col("vec_id") % 20 == 0))
 

@@ -45,6 +45,38 @@ def test_html():
     assert html_extract.main_text("<article><p>cut off &l") == "cut off &l"
 
 
+def test_url_model_on_hosts_it_has_not_seen():
+    w, b = url_filter.train()
+    score = lambda host, path="/x": 1 / (1 + np.exp(-(w[x := url_filter.features(host, path, (3, 5), 1 << 16)].sum() / len(x) ** 0.5 + b)))
+    known = {h for h, _, _ in url_filter.LABELLED_URLS}
+    rows = [(f"{a}{x}.test", y) for y, xs in ((1, url_filter.UNWANTED), (0, url_filter.ORDINARY)) for x in xs for a in ("the-", "big", "www.our-")]
+    rows += [("wikipedia.test", 0), ("github.test", 0), ("viagra-shop.test", 1), ("slots-city.test", 1), ("blog.poetry.test", 0)]
+    assert not known & {h for h, _ in rows}
+    assert np.mean([(score(h) >= 0.5) == y for h, y in rows]) > 0.95
+
+
+def test_proximity_by_brute_force(spark):
+    rng = random.Random(14)
+    rows = [(i, " ".join(rng.choices("abcdefghij", k=rng.randrange(0, 30)))) for i in range(30)]
+    items = [(i, " ".join(rng.choices("abcdefghijk", k=rng.randrange(1, 8)))) for i in range(8)]
+    bench = spark.createDataFrame([*items, (99, None)], "item_id long, text string")
+    d = docs(spark, [*rows, (50, None)])
+    count = {t: sum(x.split().count(t) for _, x in rows) for t in "abcdefghijk"}
+    phrases, near = set(), set()
+    for item, t in items:
+        w = t.split()
+        for j in range(max(1, len(w) - 4)):
+            v = w[j : j + 5]
+            ranked = sorted(range(len(v)), key=lambda o: (count[v[o]], v[o], o))
+            for doc, x in rows:
+                x = x.split()
+                phrases |= {(doc, item, i, i + len(v)) for i in range(len(x) - len(v) + 1) if x[i : i + len(v)] == v}
+                near |= {(doc, item, i) for i, y in enumerate(x) if y == v[ranked[0]] and all(v[o] in x[max(0, i - 4) : i + 5] for o in ranked[1:3])}
+    a, b = decontaminate.find_matches(d, bench, 5)
+    assert {(r.doc_id, r.item_id, r.start, r.stop) for r in a.collect()} == phrases
+    assert {(r.doc_id, r.item_id, r.pos) for r in b.collect()} == near and near
+
+
 def test_url_rules_and_model(spark):
     rows = [(1, "http://A.Example.ORG/es/1"), (2, "https://x.example.org/en/12?q"), (3, "http://y.org"), (4, "https://shop.com/de/#x"), (5, None), (6, "nothing"), (7, "http://cheap-pills.example.net/en/1"), (8, "http://b.org/q")]
     out = {r.page_id: r for r in url_filter.judge_urls(spark.createDataFrame(rows, "page_id long, url string")).collect()}
@@ -52,6 +84,7 @@ def test_url_rules_and_model(spark):
     assert (out[2].path, out[2].rule) == ("/en/12", "example.org/en/1") and (out[3].path, out[3].rule) == ("", None)
     assert (out[4].rule, out[4].verdict, out[8].rule) == ("com/de/", "block", "org/")
     assert out[5].host == out[6].path == "" and out[7].rule is None and out[7].verdict == "block"
+    assert out[5].verdict == out[6].verdict == "allow"
 
 
 def test_streaming_search_is_the_library_s():
@@ -228,6 +261,12 @@ def test_nearest_edges(spark):
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.5, float("nan")]), (3, None), (4, [0.0, 0.0]), (5, [-1.0, 1.0]), (6, [1.0, None])]
     v = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     got = sorted(tuple(r) for r in nearest.nearest(v, v, 2).collect())
+    wide = spark.createDataFrame([(i, [float((i * j) % 7 - 3) for j in range(1500)]) for i in range(12)], "vec_id long, embedding array<float>")
+    near, m = nearest.nearest(wide, wide, 3).collect(), {r.vec_id: np.array(r.embedding, float) for r in wide.collect()}
+    for i in range(1, 12):
+        want = sorted((-float(m[i] @ m[j]), j) for j in range(12) if j != i)[:3]
+        assert [(r.vec_id, r.score) for r in sorted(near, key=lambda r: r["rank"]) if r.query_id == i] == [(j, -x) for x, j in want]
+    assert nearest.nearest(v.limit(0), v.limit(0)).count() == 0
     assert got == [(0, 1, 1, 1.0), (0, 2, 5, -1.0), (1, 1, 0, 1.0), (1, 2, 5, -1.0), (5, 1, 0, -1.0), (5, 2, 1, -1.0)]
 
 
