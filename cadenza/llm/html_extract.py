@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,7 +19,7 @@ from .common import map_rows
 RAW = frozenset("script style template noscript iframe object svg canvas math textarea select option title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
-DROPPED = frozenset("nav aside footer form menu dialog head button fieldset search".split())
+DROPPED = frozenset("nav aside footer menu dialog head button fieldset search".split())
 CLOSES_P = BLOCK - {"html", "body"}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PARAGRAPHS = frozenset("p pre blockquote td li dd".split())
@@ -33,13 +34,17 @@ ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s
 
 #: A layout's property, not the element's kind: has-sidebar, with-nav.
 LAYOUT = re.compile(r"(?:^|(?<=[\s_-]))(?:has|with|no|without)[_-][^\s_-]+", re.I)
+#: What makes even an article or main element furniture.
+NO_ARTICLE = re.compile(r"(?:^|[\s_-])(?:comment\w*|repl(?:y|ies)|promo\w*|ads?|advert\w*)(?:$|[\s_\d-])", re.I)
+#: Ancestors that a paragraph's points reach; the next ones would get under a seventieth of them.
+REACH = 24
 CONTENT_NAMES = frozenset("article content entry main post story".split())
 
 
 def _furniture(tag: str, value: str, inside: bool) -> bool:
     """Whether a class or id names page furniture; a content word of its own and the header of an article win."""
     value = LAYOUT.sub("", value)
-    if tag in ("article", "main") and not re.search("comment|repl|promo|ad", value, re.I):
+    if tag in ("article", "main") and not NO_ARTICLE.search(value):
         return False
     if inside and (tag == "header" or tag in HEADINGS):
         value = re.sub(r"(?:^|(?<=[\s_-]))(?:header|masthead)(?=$|[\s_-])", "", value, flags=re.I)
@@ -47,11 +52,13 @@ def _furniture(tag: str, value: str, inside: bool) -> bool:
 
 
 class Node:
-    __slots__ = ("block", "bonus", "chars", "commas", "dropped", "h1", "links", "link_chars", "parent", "points", "tag")
+    __slots__ = ("block", "bonus", "chars", "dropped", "link_chars", "links", "linky", "parent", "points", "side", "tag", "wanted")
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool, bonus: float):
         self.tag, self.parent, self.dropped, self.bonus = tag, parent, dropped, bonus
-        self.points, self.chars, self.link_chars, self.links, self.h1 = 0.0, 0, 0, 0, False
+        self.block = self if tag in BLOCK or parent is None else parent.block
+        self.points, self.chars, self.link_chars, self.links = 0.0, 0, 0, 0
+        self.side, self.wanted, self.linky = None, False, False
 
     def density(self) -> float:
         return self.link_chars / self.chars if self.chars else 0.0
@@ -79,13 +86,15 @@ def _attributes(tag: str, text: str, inside: bool, names: bool = True) -> tuple[
     return dropped, bonus + (25.0 if tag in ("article", "main") else 5.0 if tag in ("div", "section") else 0.0)
 
 
-def parse(page: str, names: bool = True) -> list[tuple[str, int, Node]]:
-    """Blocks in page order: text, characters of it in links, the block's element. Without
-    ``names``, class and id don't make an element furniture."""
+def parse(page: str, names: bool = True) -> tuple[list[tuple[str, int, Node]], list[Node]]:
+    """Blocks in page order (text, characters of it in links, the block's element), and all elements
+    in the order of their start tags. Without ``names``, class and id don't make an element
+    furniture. A page that nests deeply costs no more than its length."""
     root = Node("#", None, False, 0.0)
-    stack, blocks = [root], []
+    stack, blocks, nodes = [root], [], [root]
     buffer: list[str] = []
-    linked = in_link = articles = 0
+    opened: Counter = Counter()
+    linked = 0
 
     def flush() -> None:
         nonlocal linked
@@ -93,22 +102,19 @@ def parse(page: str, names: bool = True) -> list[tuple[str, int, Node]]:
             text = " ".join(html.unescape("".join(buffer)).split())
             buffer.clear()
             if text:
-                node = stack[-1]
-                while node.tag not in BLOCK and node.parent is not None:
-                    node = node.parent
-                blocks.append((text, min(linked, len(text)), node))
+                blocks.append((text, min(linked, len(text)), stack[-1].block))
         linked = 0
 
     def pop_to(i: int) -> None:
-        nonlocal in_link, articles
         for node in stack[i:]:
-            in_link -= node.tag == "a"
-            articles -= node.tag in ("article", "main")
+            opened[node.tag] -= 1
         del stack[i:]
 
-    def close(names: frozenset | set, stop: frozenset | set) -> None:
+    def close(wanted: frozenset | set, stop: frozenset | set) -> None:
+        if not any(opened[t] for t in wanted):
+            return
         for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in names:
+            if stack[i].tag in wanted:
                 pop_to(i)
                 return
             if stack[i].tag in stop:
@@ -124,13 +130,13 @@ def parse(page: str, names: bool = True) -> list[tuple[str, int, Node]]:
             if text[0] != "<" or text == "<":
                 if not stack[-1].dropped:
                     buffer.append(text)
-                    if in_link:
+                    if opened["a"]:
                         linked += len(text.strip())
             continue
         if m[1] or m[4]:
             if tag in BLOCK:
                 flush()
-            if tag == "br" or tag == "p" and not any(n.tag == "p" for n in stack):
+            if tag == "br" or tag == "p" and not opened["p"]:
                 continue
             close({tag}, frozenset() if tag in BLOCK else BLOCK)
             continue
@@ -161,37 +167,37 @@ def parse(page: str, names: bool = True) -> list[tuple[str, int, Node]]:
         if tag in VOID:
             continue
         up = stack[-1]
-        dropped, bonus = _attributes(tag, m[3] or m[6] or "", articles > 0, names)
+        dropped, bonus = _attributes(tag, m[3] or m[6] or "", opened["article"] + opened["main"] > 0, names)
         stack.append(Node(tag, up, up.dropped or dropped, bonus))
-        in_link += tag == "a"
-        articles += tag in ("article", "main")
-        if tag == "a":
-            up_block = up
-            while up_block is not None:
-                up_block.links += 1
-                up_block = up_block.parent
+        nodes.append(stack[-1])
+        opened[tag] += 1
+        up.links += tag == "a"
     flush()
-    return blocks
+    for text, linked, node in blocks:
+        node.chars += len(text)
+        node.link_chars += linked
+    for node in reversed(nodes[1:]):  # what an element holds, from the innermost ones on
+        up = node.parent
+        up.chars, up.link_chars, up.links = up.chars + node.chars, up.link_chars + node.link_chars, up.links + node.links
+    # a form is furniture, unless it is laid around most of the page
+    for node in nodes[1:]:
+        node.dropped = node.parent.dropped or node.tag == "form" and 2 * node.chars < nodes[0].chars
+    return [x for x in blocks if not x[2].dropped], nodes
 
 
 def main_text(page: str | None) -> str:
     """The article's blocks, joined by two line feeds; empty for null or a page without any."""
-    blocks = (parse(page) or parse(page, names=False)) if page else []
+    blocks, nodes = parse(page) if page else ([], [])
+    if page and not blocks:
+        blocks, nodes = parse(page, names=False)
     if not blocks:
         return ""
-    for text, linked, node in blocks:
-        up = node
-        while up is not None:
-            up.chars += len(text)
-            up.link_chars += linked
-            up.h1 |= node.tag == "h1"
-            up = up.parent
     candidates: dict[int, Node] = {}
     for text, linked, node in blocks:
         points = (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - linked / len(text))
         up = node.parent if node.tag in PARAGRAPHS | HEADINGS and node.parent is not None else node
         level = 0
-        while up is not None:
+        while up is not None and level < REACH:
             up.points += points / (1 if level == 0 else 2 if level == 1 else 3 * level)
             candidates[id(up)] = up
             up, level = up.parent, level + 1
@@ -202,27 +208,26 @@ def main_text(page: str | None) -> str:
             best = up
         up = up.parent
     bar, kept = max(10.0, 0.2 * best.score()), {id(best)}
-    seen: set[int] = set()
-    for text, linked, node in blocks:
-        side = node
-        while side is not None and side.parent is not best.parent:
-            side = side.parent
-        if side is None or best.parent is None or id(side) in seen:
-            continue
-        seen.add(id(side))
-        prose = side.tag in PARAGRAPHS and side.density() < 0.25 and (side.chars > 80 or text[-1:] in ".!?")
-        if prose or side.tag in HEADINGS or (side.tag in ("div", "section", "article") and side.score() >= bar and side.density() < 0.25):
-            kept.add(id(side))
-    out = []
-    for text, linked, node in blocks:
-        up, wanted, links = node, False, False
-        while up is not None:
-            links |= not wanted and id(up) not in kept and up.tag in ("ul", "ol", "div", "table") and up.links > 1 and up.density() > 0.8
-            wanted |= id(up) in kept
-            up = up.parent
-        if wanted and not links:
-            out.append(text)
-    return "\n\n".join(out)
+    if best.parent is not None:
+        for node in nodes[1:]:
+            node.side = node if node.parent is best.parent else node.parent.side
+        seen: set[int] = set()
+        for text, _, node in blocks:
+            side = node.side
+            if side is None or id(side) in seen:
+                continue
+            seen.add(id(side))
+            prose = side.tag in PARAGRAPHS and side.density() < 0.25 and (side.chars > 80 or text[-1:] in ".!?")
+            if prose or side.tag in HEADINGS or (side.tag in ("div", "section", "article") and side.score() >= bar and side.density() < 0.25):
+                kept.add(id(side))
+    for node in nodes:  # inside what is kept, lists of links go
+        up = node.parent
+        if id(node) in kept:
+            node.wanted = True
+        elif up is not None:
+            node.wanted = up.wanted
+            node.linky = up.linky or node.tag in ("ul", "ol", "div", "table") and node.links > 1 and node.density() > 0.8
+    return "\n\n".join(text for text, _, node in blocks if node.wanted and not node.linky)
 
 
 def extract_main_text(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
@@ -244,4 +249,5 @@ def extract_main_text(pages: DataFrame, html_col: str = "html", keep: tuple[str,
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url, text, n_chars of every row of pages; null and empty html give an empty text."""
     return extract_main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
