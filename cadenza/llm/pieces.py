@@ -26,7 +26,7 @@ from .common import map_rows, process_memory
 
 SPACE = "▁"
 #: Words and pairs remembered by one task; beyond that the memory is emptied and filled anew.
-MEMORY = 1 << 17
+MEMORY = 1 << 18
 #: Longer words are not remembered.
 LONG = 64
 
