@@ -142,19 +142,22 @@ def sketches(text: DataFrame, k: int = SHINGLE, words: int = WORDS) -> DataFrame
 
 def across(members: DataFrame, sketch: DataFrame, threshold: float, words: int = WORDS) -> DataFrame:
     """(u, v): pairs of one band and different roots that may be similar enough, each from the
-    first of the bands it shares (only there, so the rows are not made once for each band).
+    first of the bands it shares (only there, so the rows are not made once for each band), stored.
 
     Bits in which two sketches differ each stand for a shingle that only one line has, so
     they are no more than the sets' symmetric difference, which similarity t bounds by
     (1 - t) / (1 + t) of both sizes. What is left out is certain not to be a link.
     """
-    m = members.join(sketch, "line_id")
+    m = stash(members.join(sketch, "line_id"), "sketched-buckets")
     a = m.select("band", F.col("root").alias("ra"), F.col("line_id").alias("x"), F.col("n").alias("na"), "nr", F.col("bands").alias("ba"), *(F.col(f"w{j}").alias(f"a{j}") for j in range(words)))
     b = m.select("band", F.col("root").alias("rb"), F.col("line_id").alias("y"), F.col("n").alias("nb"), F.col("bands").alias("bb"), *(F.col(f"w{j}").alias(f"b{j}") for j in range(words)))
     most = f"{1 - threshold}D * (na + nb) + 0.000001D"
     differ = " + ".join(f"bit_count(a{j} ^ b{j})" for j in range(words))
     both = a.join(b, (a["band"] == b["band"]) & F.expr(f"ra < rb AND {1 + threshold}D * abs(na - nb) <= {most} AND {1 + threshold}D * ({differ}) <= {most} AND array_position(zip_with(ba, bb, (p, q) -> p = q), true) = nr + 1"))
-    return both.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v"))
+    pairs = stash(both.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")), "cross-pairs")
+    unstash(m)
+    release(members.sparkSession)
+    return pairs
 
 
 def similar_lines(lines: DataFrame, docs: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
@@ -170,15 +173,19 @@ def similar_lines(lines: DataFrame, docs: DataFrame, k: int = SHINGLE, threshold
     text = texts_of(live.select("line_id"), lines, docs)
     release(spark)
     links = stash(verify(pairs, text, k, threshold), "star-links")
+    release(spark)
     roots = connected_components(links, "line-cc").select(F.col("node").alias("line_id"), "root")
     rest = live.where("n > 2").join(roots, "line_id", "left").select("band", "nr", "line_id", F.coalesce("root", "line_id").alias("root"), "hub")
     split = rest.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("band")
     open_ = stash(rest.join(split, "band"), "open-buckets")
+    unstash(live)
+    release(spark)
     ids = open_.select("line_id").distinct()
     drawn = sketches(text.join(ids, "line_id", "left_semi"), k).join(lines.join(ids, "line_id", "left_semi").select("line_id", "bands"), "line_id")
-    more = across(open_.where("line_id <> hub").drop("hub"), drawn, threshold)
-    more = stash(verify(more, text, k, threshold), "cross-links")
-    unstash(live, text, open_)
+    maybe = across(open_.where("line_id <> hub").drop("hub"), drawn, threshold)
+    more = stash(verify(maybe, text, k, threshold), "cross-links")
+    unstash(text, open_, maybe)
+    release(spark)
     if more.isEmpty():
         return roots
     return connected_components(links.union(more), "line-cc-2").select(F.col("node").alias("line_id"), "root")
@@ -191,6 +198,7 @@ def removed_lines(docs: DataFrame, k: int = SHINGLE, threshold: float = THRESHOL
     lines = signatures(docs, k)
     release(docs.sparkSession)
     roots = similar_lines(lines, docs, k, threshold)
+    release(docs.sparkSession)
     named = lines.select("line_id", "k1", "k2", "first", "copies").join(roots, "line_id", "left").withColumn("root", F.coalesce("root", "line_id"))
     firsts = named.groupBy("root").agg(F.min("first").alias("kept"), F.sum("copies").alias("all")).where("all > 1")
     marks = stash(named.join(firsts, "root").select("k1", "k2", F.col("kept.doc_id").alias("kd"), F.col("kept.hash").alias("kh"), F.col("kept.pos").alias("kp")), "line-marks")
