@@ -140,7 +140,11 @@ def sketches(text: DataFrame, k: int = SHINGLE, words: int = WORDS) -> DataFrame
     return s.groupBy("line_id", "n").agg(*(F.coalesce(F.bit_or(F.when(at == j, bit).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long")).alias(f"w{j}") for j in range(words)))
 
 
-def across(members: DataFrame, sketch: DataFrame, threshold: float, words: int = WORDS) -> DataFrame:
+#: Whether a band is the first that two lines share: bands of one place are compared.
+FIRST_SHARED = "array_position(zip_with(ba, bb, (p, q) -> p = q), true) = nr + 1"
+
+
+def across(members: DataFrame, sketch: DataFrame, threshold: float, words: int = WORDS, first_shared: str = FIRST_SHARED) -> DataFrame:
     """(u, v): pairs of one band and different roots that may be similar enough, each from the
     first of the bands it shares (only there, so the rows are not made once for each band), stored.
 
@@ -153,7 +157,7 @@ def across(members: DataFrame, sketch: DataFrame, threshold: float, words: int =
     b = m.select("band", F.col("root").alias("rb"), F.col("line_id").alias("y"), F.col("n").alias("nb"), F.col("bands").alias("bb"), *(F.col(f"w{j}").alias(f"b{j}") for j in range(words)))
     most = f"{1 - threshold}D * (na + nb) + 0.000001D"
     differ = " + ".join(f"bit_count(a{j} ^ b{j})" for j in range(words))
-    both = a.join(b, (a["band"] == b["band"]) & F.expr(f"ra < rb AND {1 + threshold}D * abs(na - nb) <= {most} AND {1 + threshold}D * ({differ}) <= {most} AND array_position(zip_with(ba, bb, (p, q) -> p = q), true) = nr + 1"))
+    both = a.join(b, (a["band"] == b["band"]) & F.expr(f"ra < rb AND {1 + threshold}D * abs(na - nb) <= {most} AND {1 + threshold}D * ({differ}) <= {most} AND {first_shared}"))
     pairs = stash(both.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")), "cross-pairs")
     unstash(m)
     release(members.sparkSession)

@@ -84,6 +84,12 @@ def _syndrome(words: np.ndarray) -> np.ndarray:
     return rest
 
 
+def codewords() -> np.ndarray:
+    """The 4096 codewords by index, as numbers of 23 bits."""
+    high = np.arange(4096, dtype=np.int64) << 11
+    return high | _syndrome(high)
+
+
 def codeword_indices(words: np.ndarray, length: int = 23) -> np.ndarray:
     """For each word the indices (upper 12 bits) of the codewords nearest to it and to each
     word one bit away among its lower ``length`` bits: an array of shape (n, length + 1)."""

@@ -29,7 +29,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of texts with a similarity of 0.8 or more: the one with the smallest doc_id."""
+    """One document of each component of texts with a similarity of 0.8 or more, found by SimHash and
+    Golay keys: the one with the smallest doc_id."""
     return near_copies.keep_one(docs).select(*docs.columns)
 
 
