@@ -153,13 +153,15 @@ def across(members: DataFrame, sketch: DataFrame, threshold: float, words: int =
     (1 - t) / (1 + t) of both sizes. What is left out is certain not to be a link.
     """
     m = stash(members.join(sketch, "line_id"), "sketched-buckets")
+    # a set number of tasks: by their bytes alone small tables would be one task, whatever the pairs
+    m, stored = m.repartition(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), "band"), m
     a = m.select("band", F.col("root").alias("ra"), F.col("line_id").alias("x"), F.col("n").alias("na"), "nr", F.col("bands").alias("ba"), *(F.col(f"w{j}").alias(f"a{j}") for j in range(words)))
     b = m.select("band", F.col("root").alias("rb"), F.col("line_id").alias("y"), F.col("n").alias("nb"), F.col("bands").alias("bb"), *(F.col(f"w{j}").alias(f"b{j}") for j in range(words)))
     most = f"{1 - threshold}D * (na + nb) + 0.000001D"
     differ = " + ".join(f"bit_count(a{j} ^ b{j})" for j in range(words))
     both = a.join(b, (a["band"] == b["band"]) & F.expr(f"ra < rb AND {1 + threshold}D * abs(na - nb) <= {most} AND {1 + threshold}D * ({differ}) <= {most} AND {first_shared}"))
     pairs = stash(both.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")), "cross-pairs")
-    unstash(m)
+    unstash(stored)
     release(members.sparkSession)
     return pairs
 
