@@ -1,35 +1,37 @@
 """Near-dedup of whole documents: SimHash, Golay keys, exact Jaccard.
 
 Documents with equal sets of five-word shingles are one node. A node's SimHash counts, for each
-of 460 bits, how many shingles set it and how many do not. At similarity 0.8 some 15 of 100
-bits differ, far more than op3's two of 64, so a fingerprint is cut into 20 words of 23 bits and
+of 828 bits, how many shingles set it and how many do not. At similarity 0.8 some 15 of 100
+bits differ, far more than op3's two of 64, so a fingerprint is cut into 36 words of 23 bits and
 each word is decoded softly: its keys are the Golay codewords nearest to the counts, not to the
-bits alone, so bits that were nearly even weigh little. A table joins two words; a node has
-the eight likeliest pairs of codewords as keys in each of the ten tables. Nodes that meet in a
+bits alone, so bits that were nearly even weigh little. A table joins three words; a node has
+the 24 likeliest triples of codewords as keys in each of the twelve tables. Nodes that meet in a
 key are compared bit by bit (128 bits of the fingerprint), what is left is verified by the exact
 Jaccard similarity of the sets, and verified links form components by distributed union-find.
 
 A pair of similarity 0.8 is missed once in some 6,000 times, one of 0.9 practically never
 (simulated). As in line dedup, each node of a bucket is compared with the bucket's least, and after
-that only nodes of one bucket that are still in different components, all of them. Unlike nodes
-meet by chance in a key of 24 bits: 4 of 100,000 pairs, a comparison of two fingerprints each.
+that only nodes of one bucket that are still in different components, all of them. A key has 36
+bits, so unlike nodes hardly meet by chance: one of ten million pairs. Keys are made on the way into
+their shuffle and shingles once more for the nodes that meet: neither is stored for every document.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, connected_components, map_rows, release, stash, unstash
+from .common import LOWER, UPPER, connected_components, map_rows, process_memory, release, stash, unstash
 from .line_dedup import WORDS as SKETCH_WORDS
 from .line_dedup import across, jaccard
 from .simhash import codewords
 
 SHINGLE, THRESHOLD = 5, 0.8
-#: Tables, Golay words in a table's key, and keys of a node in a table.
-TABLES, WORDS, LIST = 10, 2, 8
+#: Tables, Golay words in a table's key, codewords taken for a word, and keys of a node in a table.
+TABLES, WORDS, LIST, KEYS = 12, 3, 8, 24
 #: Bits of a Golay word, and of its codeword's index.
 LENGTH, INDEX = 23, 12
 #: Differing bits of 128 beyond which nodes are not compared. At similarity 0.8 19 are expected,
@@ -39,22 +41,24 @@ FAR = 48
 FIRST_SHARED = "array_min(array_intersect(ba, bb)) = element_at(ba, nr + 1)"
 SEED = 42
 _LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 _LANES = np.uint64(0x0101010101010101)
 
 
 def shingles(text: str | None, words: int = SHINGLE) -> np.ndarray:
-    """XXH64 of a text's different word shingles, sorted. Fewer words than a shingle has: the
-    whole sequence is one; no words: the one value 0."""
+    """64-bit hashes of a text's different word shingles, sorted: the XXH64 of their words, mixed
+    in order. Fewer words than a shingle has: the whole sequence is one; no words: the one value 0."""
     found = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
     if not found:
         return np.zeros(1, np.uint64)
-    joined = b" ".join(found)
-    lengths = np.fromiter(map(len, found), np.int64, len(found))
-    ends = np.cumsum(lengths + 1) - 1
+    h = np.fromiter(map(xxhash.xxh64_intdigest, found), np.uint64, len(found))
     k = min(words, len(found))
-    digest = xxhash.xxh64_intdigest
-    pairs = zip((ends - lengths)[: len(found) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)
-    return np.unique(np.fromiter((digest(joined[a:b], SEED) for a, b in pairs), np.uint64, len(found) - k + 1))
+    n = len(found) - k + 1
+    out = np.full(n, k, np.uint64)
+    for j in range(k):
+        out = (out ^ out >> np.uint64(32)) * _MIX + h[j : j + n]
+    out = (out ^ out >> np.uint64(32)) * _MIX
+    return np.unique(out ^ out >> np.uint64(29))
 
 
 def counts(values: np.ndarray, starts: np.ndarray, n: np.ndarray, bits: int) -> np.ndarray:
@@ -88,15 +92,28 @@ def _halves() -> tuple[np.ndarray, np.ndarray]:
 def nearest_codewords(c: np.ndarray, k: int = LIST) -> tuple[np.ndarray, np.ndarray]:
     """(indices, nearness) of the k codewords that agree most with each row of 23 counts, in
     no order. Ties go the same way for every row."""
-    index, signs = _halves()
-    opposite = np.searchsorted(codewords(), codewords()[index] ^ (1 << LENGTH) - 1)
-    agree = c.astype(np.float32) @ signs.T
-    near = np.abs(agree) + np.random.default_rng(SEED).random(len(index), np.float32) / 2
-    at = np.argpartition(near, len(index) - k, axis=1)[:, -k:]
+    memory = process_memory("near")
+    if "codewords" not in memory:
+        index, signs = _halves()
+        opposite = np.searchsorted(codewords(), codewords()[index] ^ (1 << LENGTH) - 1)
+        memory["codewords"] = index, opposite, signs.T.copy(), np.random.default_rng(SEED).random(len(index), np.float32) / 2
+    index, opposite, signs, ties = memory["codewords"]
+    agree = c.astype(np.float32) @ signs
+    near = np.abs(agree) + ties
+    # the k best lie in the k of 128 groups whose best are greatest
+    groups = near.reshape(len(c), -1, 128).max(axis=1)
+    some = np.argpartition(groups, 128 - k, axis=1)[:, -k:]
+    some = (some[:, None, :] + np.arange(0, len(index), 128)[:, None]).reshape(len(c), -1)
+    at = np.take_along_axis(some, _best(np.take_along_axis(near, some, 1), k), 1)
     negative = np.take_along_axis(agree, at, 1) < 0
     return np.where(negative, opposite[at], index[at]), np.take_along_axis(near, at, 1)
 
 
+def _best(near: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k greatest of each row, in no order."""
+    return np.argpartition(near, near.shape[1] - k, axis=1)[:, -k:]
+
+
 def golay_keys(c: np.ndarray) -> np.ndarray:
     """Keys of each row of counts, with the number of the table in their upper bits."""
     out = []
@@ -106,28 +123,56 @@ def golay_keys(c: np.ndarray) -> np.ndarray:
             index, more = nearest_codewords(c[:, LENGTH * w : LENGTH * w + LENGTH])
             near = (near[:, :, None] + more[:, None, :]).reshape(len(c), -1)
             keys = (keys[:, :, None] << INDEX | index[:, None, :]).reshape(len(c), -1)
-        best = np.argpartition(near, near.shape[1] - LIST, axis=1)[:, -LIST:]
-        out.append(np.take_along_axis(keys, best, 1) | t << INDEX * WORDS)
-    return np.concatenate(out, axis=1).astype(np.int32)
+            if near.shape[1] > KEYS:  # what is best with the next word is best without it
+                best = _best(near, KEYS)
+                keys, near = np.take_along_axis(keys, best, 1), np.take_along_axis(near, best, 1)
+        out.append(keys | t << INDEX * WORDS)
+    return np.concatenate(out, axis=1)
+
+
+def _sets(texts: pa.Array) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Shingles, their number and the node of each text."""
+    sets = [shingles(t) for t in texts.to_pylist()]
+    node = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64)
+    return sets, np.array([len(s) for s in sets]), node.view(np.int64)
+
+
+def _counts(sets: list[np.ndarray], n: np.ndarray, bits: int = TABLES * WORDS * LENGTH) -> np.ndarray:
+    return counts(np.concatenate(sets), np.cumsum(n) - n, n, bits)
 
 
 def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, hash of the text, node, n, f1 and f2: 128 bits of the fingerprint, s: the shingles,
-    bands: the keys) of every row."""
+    """(doc_id, hash of the text, node, n, f1 and f2: 128 bits of the fingerprint) of every row."""
 
     def run(cols: dict) -> dict:
-        sets = [shingles(t) for t in cols["text"].to_pylist()]
-        n = np.array([len(s) for s in sets])
-        c = counts(np.concatenate(sets), np.cumsum(n) - n, n, TABLES * WORDS * LENGTH)
-        f = np.packbits(c[:, :128] > 0, axis=1).view("<i8")
-        node = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64)
-        return {
-            "doc_id": cols["doc_id"], "hash": cols["hash"], "node": node.view(np.int64), "n": n.astype(np.int32),
-            "f1": f[:, 0], "f2": f[:, 1], "s": [s.view(np.int64) for s in sets], "bands": list(golay_keys(c)),
-        }
+        sets, n, node = _sets(cols["text"])
+        f = np.packbits(_counts(sets, n, 128) > 0, axis=1).view("<i8")
+        return {"doc_id": cols["doc_id"], "hash": cols["hash"], "node": node, "n": n.astype(np.int32), "f1": f[:, 0], "f2": f[:, 1]}
 
     kind = dict(docs.dtypes)[id_col]
-    return map_rows(docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text")), f"doc_id {kind}, hash long, node long, n int, f1 long, f2 long, s array<long>, bands array<int>", run)
+    return map_rows(docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text")), f"doc_id {kind}, hash long, node long, n int, f1 long, f2 long", run)
+
+
+def node_keys(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(band, node): the keys of every row, repeated for equal nodes."""
+
+    def run(cols: dict) -> dict:
+        sets, n, node = _sets(cols["text"])
+        keys = golay_keys(_counts(sets, n))
+        return {"band": keys.ravel(), "node": np.repeat(node, keys.shape[1])}
+
+    return map_rows(docs.select(F.col(text_col).alias("text")), "band long, node long", run)
+
+
+def node_sets(docs: DataFrame, text_col: str = "text", keys: bool = True) -> DataFrame:
+    """(node, n, s: the shingles, bands: the keys if asked for), one row for each node."""
+
+    def run(cols: dict) -> dict:
+        sets, n, node = _sets(cols["text"])
+        bands = list(golay_keys(_counts(sets, n))) if keys else [None] * len(n)
+        return {"node": node, "n": n.astype(np.int32), "s": [s.view(np.int64) for s in sets], "bands": bands}
+
+    return map_rows(docs.select(F.col(text_col).alias("text")), "node long, n int, s array<long>, bands array<long>", run).dropDuplicates(["node"])
 
 
 def verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -151,33 +196,38 @@ def alike(a: str, b: str, threshold: float) -> str:
     return f"{bits} AND least({a}.n, {b}.n) >= {threshold}D * greatest({a}.n, {b}.n) - 0.000001D"
 
 
-def components(marks: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(node, root): nodes of a component with another one."""
+def components(marks: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """(node, root): nodes of a component with another one. marks: the features of docs."""
     spark = marks.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    nodes = stash(marks.select("node", "n", "f1", "f2", "bands").dropDuplicates(["node"]), "near-nodes")
+
+    def sets(wanted: DataFrame, tag: str, keys: bool) -> DataFrame:
+        first = first_rows(marks.join(wanted.distinct(), "node", "left_semi"), "node")
+        return stash(node_sets(rows_at(docs, first, id_col, text_col), text_col, keys), tag)
+
     # one exchange for both uses, as both ask for the same columns
-    keys = nodes.select(F.explode("bands").alias("band"), "node").repartition(parts, "band")
-    stats = keys.groupBy("band").agg(F.count("*").alias("size"), F.min("node").alias("hub")).where("size > 1")
-    live = stash(keys.join(stats.hint("shuffle_hash"), "band").select("band", "node", "size", "hub"), "near-buckets")
+    keys = node_keys(docs, text_col).repartition(parts, "band")
+    stats = keys.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").drop("last")
+    live = stash(keys.join(stats.hint("shuffle_hash"), "band").select("band", "node", "hub").distinct(), "near-buckets")
     release(spark)
-    bits = nodes.select("node", F.struct("n", "f1", "f2").alias("f"))
+    nodes = stash(marks.select("node", F.struct("n", "f1", "f2").alias("f")).join(live.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "near-nodes")
     met = live.where("node <> hub").select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct()
-    met = met.join(bits.select(F.col("node").alias("u"), F.col("f").alias("a")), "u").join(bits.select(F.col("node").alias("v"), F.col("f").alias("b")), "v")
+    met = met.join(nodes.select(F.col("node").alias("u"), F.col("f").alias("a")), "u").join(nodes.select(F.col("node").alias("v"), F.col("f").alias("b")), "v")
     stars = stash(met.where(alike("a", "b", threshold)).select("u", "v"), "near-met")
-    sets = marks.select("node", "n", "s", "bands")
-    links = stash(verify(stars, of_nodes(sets, stars.select(F.explode(F.array("u", "v")).alias("node"))), threshold), "near-stars")
+    ends = sets(stars.select(F.explode(F.array("u", "v")).alias("node")), "near-ends", False)
+    links = stash(verify(stars, ends, threshold), "near-stars")
+    unstash(stars, ends)
     release(spark)
     roots = connected_components(links, "near-cc").select("node", "root")
-    rest = live.where("size > 2").join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"), "hub")
+    rest = live.where("node <> hub").join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
     split = rest.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("band")
-    open_ = stash(rest.where("node <> hub").join(split, "band").join(bits, "node").select("band", "node", "root", "f"), "near-open")
-    unstash(live, stars)
+    open_ = stash(rest.join(split, "band").join(nodes, "node").select("band", "node", "root", "f"), "near-open")
+    unstash(live)
     release(spark)
     a, b = open_.alias("x"), open_.alias("y")
     near = a.join(b, F.expr(f"x.band = y.band AND x.root <> y.root AND {alike('x.f', 'y.f', threshold)}"))
     busy = stash(near.select("x.band", "x.node", "x.root").distinct(), "near-busy")
-    some = stash(of_nodes(sets, busy.select("node")), "near-sets")
+    some = sets(busy.select("node"), "near-sets", True)
     place = some.select("node", F.posexplode("bands").alias("nr", "band"))
     members = busy.join(place, ["node", "band"]).select("nr", "band", F.col("node").alias("line_id"), "root")
     maybe = across(members, sketches(some), threshold, first_shared=FIRST_SHARED)
@@ -189,9 +239,21 @@ def components(marks: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return connected_components(links.union(more), "near-cc-2").select("node", "root")
 
 
-def of_nodes(sets: DataFrame, wanted: DataFrame) -> DataFrame:
-    """One row of sets for each wanted node."""
-    return sets.join(wanted.distinct(), "node", "left_semi").dropDuplicates(["node"])
+def first_rows(named: DataFrame, by: str) -> DataFrame:
+    """(__id, __hash): for each value of ``by`` its row with the smallest doc_id, nulls last, of
+    equal ids the one with the least hash."""
+    first = named.groupBy(by).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")).alias("k"))
+    return first.select(_id(F.col("k.doc_id")), F.col("k.hash").alias("__hash"))
+
+
+def rows_at(docs: DataFrame, places: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs whose ids and texts are asked for, with __id and __hash."""
+    rows = docs.select("*", _id(F.col(id_col)), F.xxhash64(text_col).alias("__hash"))
+    return rows.join(places, ["__id", "__hash"], "left_semi")
+
+
+def _id(c: Column) -> Column:
+    return F.coalesce(c.cast("string"), F.lit("\x00")).alias("__id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -199,10 +261,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     similarity of ``threshold`` or more: the one with the smallest doc_id, nulls last, of
     equal ids the one with the least hash of the text. Null and blank texts are one component."""
     marks = stash(features(docs, id_col, text_col), "near-marks")
-    roots = components(marks, threshold)
+    roots = components(marks, docs, id_col, text_col, threshold)
     named = marks.select("doc_id", "hash", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    first = named.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")).alias("k"))
-    key = lambda c: F.coalesce(c.cast("string"), F.lit("\x00")).alias("__id")
-    kept = first.select(key(F.col("k.doc_id")), F.col("k.hash").alias("__hash"))
-    rows = docs.select("*", key(F.col(id_col)), F.xxhash64(text_col).alias("__hash"))
-    return rows.join(kept, ["__id", "__hash"], "left_semi").dropDuplicates(["__id", "__hash"]).select(*docs.columns)
+    return rows_at(docs, first_rows(named, "root"), id_col, text_col).dropDuplicates(["__id", "__hash"]).select(*docs.columns)

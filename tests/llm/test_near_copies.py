@@ -111,3 +111,10 @@ def test_links_beside_the_least_of_a_bucket(spark):
     got = sorted(r.doc_id for r in near_copies.keep_one(rows_of(spark, rows)).collect())
     groups = kept(rows)
     assert len(groups) > 5 and got == sorted(min(r[0] for r in g) for g in groups)
+
+
+def test_unlike_sets_hardly_meet():
+    """The pairs that meet by chance grow with the square of the sets."""
+    rng = np.random.default_rng(5)
+    keys = near_copies.golay_keys(laid_out(list(rng.integers(0, 1 << 64, (4000, 60), np.uint64))))
+    assert keys.size - len(np.unique(keys)) <= 20
