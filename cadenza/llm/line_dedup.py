@@ -28,6 +28,8 @@ SHINGLE, THRESHOLD = 8, 0.8
 GRID, CLASSES = 4, 4
 #: Words of 64 bits in a sketch; a power of two.
 WORDS = 32
+#: Shingles reduced at once before they reach a line's signature.
+TOGETHER = 8
 #: What a blank line may hold.
 BLANK = " \t\r\x0b\x0c"
 #: Bits of line_id below its count of copies.
@@ -106,8 +108,13 @@ def signatures(docs: DataFrame, k: int = SHINGLE, grid: int = GRID, classes: int
     lines = _lines(docs).where(_filled(F.col("line")))
     once = lines.groupBy(*_key(F.col("line"))).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", "pos")).alias("first"), F.any_value("line").alias("line"), F.count("*").alias("copies"))
     s = once.select("k1", "k2", *(F.col(f"first.{c}").alias(c) for c in place), "copies", _units(F.col("line")).alias("u"))
-    s = s.select("*", F.explode(_places(F.col("u"), k)).alias("i")).select("k1", "k2", *place, "copies", _shingle(F.col("u"), F.col("i"), k).alias("h"))
-    least = s.groupBy("k1", "k2").agg(*(F.min(F.col("h").bitwiseXOR(F.lit(p))).alias(f"s{j}") for j, p in enumerate(_points(grid * grid))), *(F.first(c).alias(c) for c in (*place, "copies")))
+    # some shingles at a time, as an update of the hash map costs more than a shingle; the last one fills up.
+    # What a line has once is part of the key, or it would be updated too
+    last = F.greatest((F.octet_length("u") / 2).cast("int") - (k - 1), F.lit(1))
+    s = s.select("*", last.alias("last")).select("*", F.explode(F.sequence(F.lit(1), F.col("last"), F.lit(TOGETHER))).alias("i"))
+    some = [f"h{m}" for m in range(TOGETHER)]
+    s = s.select("k1", "k2", *place, "copies", *(_shingle(F.col("u"), F.least(F.col("i") + m, F.col("last")), k).alias(h) for m, h in enumerate(some)))
+    least = s.groupBy("k1", "k2", *place, "copies").agg(*(F.min(F.least(*(F.col(h).bitwiseXOR(F.lit(p)) for h in some))).alias(f"s{j}") for j, p in enumerate(_points(grid * grid))))
     bands = F.array(*(F.xxhash64(F.lit(b), *(f"s{c}" for c in cells)) for b, cells in enumerate(band_cells(grid, classes))))
     rank = F.shiftleft(1023 - F.least("copies", F.lit(1023)), ID_BITS)
     return stash(least.select((rank + F.monotonically_increasing_id()).alias("line_id"), "k1", "k2", F.struct(*place).alias("first"), "copies", bands.alias("bands")), "line-signatures")
@@ -115,10 +122,10 @@ def signatures(docs: DataFrame, k: int = SHINGLE, grid: int = GRID, classes: int
 
 def texts_of(wanted: DataFrame, lines: DataFrame, docs: DataFrame) -> DataFrame:
     """(line_id, line) of the wanted line_ids, read from their first places, stored."""
-    at = lines.join(wanted.distinct(), "line_id", "left_semi").select("line_id", "first.doc_id", "first.hash", "first.pos")
+    at = lines.join(wanted.distinct().hint("shuffle_hash"), "line_id", "left_semi").select("line_id", "first.doc_id", "first.hash", "first.pos")
     key = lambda c: F.coalesce(c, F.lit(-(1 << 63)).cast("long")).alias("k")
     places = at.groupBy(key(F.col("doc_id")), "hash").agg(F.collect_list(F.struct("line_id", "pos")).alias("p"))  # as many as a text has lines
-    found = docs.select(key(F.col("doc_id").cast("long")), F.xxhash64("text").alias("hash"), "text").join(places, ["k", "hash"])
+    found = docs.select(key(F.col("doc_id").cast("long")), F.xxhash64("text").alias("hash"), "text").join(places.hint("shuffle_hash"), ["k", "hash"])
     picked = found.select(let(F.split("text", "\n"), lambda parts: F.transform("p", lambda x: F.struct(x["line_id"].alias("line_id"), F.get(parts, x["pos"]).alias("line")))).alias("t"))
     return stash(picked.select(F.inline("t")).dropDuplicates(["line_id"]), "line-texts")
 
@@ -169,7 +176,7 @@ def across(members: DataFrame, sketch: DataFrame, threshold: float, words: int =
 def similar_lines(lines: DataFrame, docs: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
     """(line_id, root): lines in a component with another one, by the component's least line_id."""
     spark = lines.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n, count = int(spark.conf.get("spark.sql.shuffle.partitions")), len(band_cells())
     # one exchange for both uses, as both ask for the same columns
     b = lines.select("line_id", F.posexplode("bands").alias("nr", "band")).repartition(n, "band")
     stats = b.groupBy("band").agg(F.count("*").alias("n"), F.min("line_id").alias("hub"), F.min("nr").alias("low")).where("n > 1 AND low >= 0").drop("low")
@@ -187,7 +194,9 @@ def similar_lines(lines: DataFrame, docs: DataFrame, k: int = SHINGLE, threshold
     unstash(live)
     release(spark)
     ids = open_.select("line_id").distinct()
-    drawn = sketches(text.join(ids, "line_id", "left_semi"), k).join(lines.join(ids, "line_id", "left_semi").select("line_id", "bands"), "line_id")
+    # lines of different components share open bands only, so the others may be null
+    bands = open_.groupBy("line_id").agg(*(F.max(F.when(F.col("nr") == j, F.col("band"))).alias(f"b{j}") for j in range(count)))
+    drawn = sketches(text.join(ids, "line_id", "left_semi"), k).join(bands.select("line_id", F.array(*(f"b{j}" for j in range(count))).alias("bands")), "line_id")
     maybe = across(open_.where("line_id <> hub").drop("hub"), drawn, threshold)
     more = stash(verify(maybe, text, k, threshold), "cross-links")
     unstash(text, open_, maybe)
@@ -205,13 +214,14 @@ def removed_lines(docs: DataFrame, k: int = SHINGLE, threshold: float = THRESHOL
     release(docs.sparkSession)
     roots = similar_lines(lines, docs, k, threshold)
     release(docs.sparkSession)
-    named = lines.select("line_id", "k1", "k2", "first", "copies").join(roots, "line_id", "left").withColumn("root", F.coalesce("root", "line_id"))
+    named = lines.select("line_id", "k1", "k2", "first", "copies").join(roots.hint("shuffle_hash"), "line_id", "left")
+    named = named.where("copies > 1 OR root IS NOT NULL").withColumn("root", F.coalesce("root", "line_id"))
     firsts = named.groupBy("root").agg(F.min("first").alias("kept"), F.sum("copies").alias("all")).where("all > 1")
     marks = stash(named.join(firsts, "root").select("k1", "k2", F.col("kept.doc_id").alias("kd"), F.col("kept.hash").alias("kh"), F.col("kept.pos").alias("kp")), "line-marks")
     unstash(lines)
     release(docs.sparkSession)
     here = _lines(docs).where(_filled(F.col("line"))).select("doc_id", "hash", "pos", *_key(F.col("line")))
-    gone = here.join(marks, ["k1", "k2"]).where(~(F.col("doc_id").eqNullSafe(F.col("kd")) & (F.col("hash") == F.col("kh")) & (F.col("pos") == F.col("kp"))))
+    gone = here.join(marks.hint("shuffle_hash"), ["k1", "k2"]).where(~(F.col("doc_id").eqNullSafe(F.col("kd")) & (F.col("hash") == F.col("kh")) & (F.col("pos") == F.col("kp"))))
     return gone.groupBy("doc_id", "hash").agg(F.collect_set("pos").alias("removed"))  # as many as a text has lines
 
 
@@ -230,7 +240,7 @@ def dedup_lines(docs: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD)
     gone = removed_lines(docs, k, threshold)
     gone = gone.select(F.col("doc_id").alias("__d"), F.col("hash").alias("__h"), F.col("removed").alias("__gone"))
     base = docs.drop("n_lines", "n_removed").withColumn("__t", F.xxhash64("text"))
-    out = base.join(gone, base["doc_id"].eqNullSafe(gone["__d"]) & (base["__t"] == gone["__h"]), "left")
+    out = base.join(gone.hint("shuffle_hash"), base["doc_id"].eqNullSafe(gone["__d"]) & (base["__t"] == gone["__h"]), "left")
     parts = F.split("text", "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__gone"))
     text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(let(parts, lambda p: F.array_join(F.transform(left, lambda i: F.get(p, i)), "\n")))

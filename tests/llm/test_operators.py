@@ -213,6 +213,16 @@ def test_blank_lines_stay(spark):
     assert [got[i].n_removed for i in (1, 2, 3, 4)] == [0, 1, 0, 0]
 
 
+def test_signatures_do_not_depend_on_what_is_reduced_at_once(spark, monkeypatch):
+    """Lines of every number of shingles around one and two blocks."""
+    rng = random.Random(12)
+    rows = docs(spark, [(n, "".join(rng.choices("abcdef ", k=n - 1)) + "z") for n in range(1, 2 * line_dedup.TOGETHER + 12)])
+    take = lambda: sorted((r.k1, r.k2, r.copies, tuple(r.bands)) for r in line_dedup.signatures(rows).collect())
+    together = take()
+    monkeypatch.setattr(line_dedup, "TOGETHER", 2)
+    assert len(together) == len({r.text for r in rows.collect()}) and together == take()
+
+
 def test_token_store_round_trip(spark, tmp_path):
     from tokenizers import Tokenizer
 
