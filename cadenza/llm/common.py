@@ -7,6 +7,7 @@ import gc
 import os
 import sys
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -31,11 +32,12 @@ def shared_dir(spark: SparkSession) -> str:
     return (found or os.path.join(tempfile.gettempdir(), "checkpoints")).rstrip("/") + "/cadenza"
 
 
-def stash(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
+def stash(df: DataFrame, tag: str, compression: str = "snappy", dictionary: bool = True) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back: this cuts the
-    lineage, and the rows survive the loss of any executor."""
+    lineage, and the rows survive the loss of any executor. Many columns of hashes are read
+    faster without dictionaries, which hold each value once and are looked up out of order."""
     path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
-    df.write.option("compression", compression).parquet(path)
+    df.write.option("compression", compression).option("parquet.enable.dictionary", str(dictionary).lower()).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.stash_path = path
     return out
@@ -52,8 +54,17 @@ def unstash(*frames: DataFrame) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner see that finished shuffles are no longer used, so their files go."""
+    """Let Spark's cleaner see that finished shuffles are no longer used, so their files go.
+
+    py4j detaches what Python has dropped from a thread of its own, up to a second later;
+    until then the JVM's collector finds the frames and their shuffles in use.
+    """
     gc.collect()
+    waiting, until = getattr(spark._jvm._gateway_client, "finalizer_deque", None), time.monotonic() + 5
+    while waiting and time.monotonic() < until:
+        time.sleep(0.05)
+    time.sleep(0.05)  # for the one last taken from the queue
+    spark.range(1).count()  # the scheduler was seen to hold the last query's shuffles until another one ran
     spark._jvm.System.gc()
 
 

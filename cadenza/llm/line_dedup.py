@@ -55,17 +55,16 @@ def _shingle(units: Column, i: Column, k: int) -> Column:
     return F.xxhash64(F.substring(units, 2 * i - 1, F.lit(2 * k)))
 
 
-def _places(units: Column, k: int) -> Column:
-    return F.sequence(F.lit(1), F.greatest((F.octet_length(units) / 2).cast("int") - (k - 1), F.lit(1)))
-
-
 def let(value: Column, use) -> Column:
     """use(value) with value computed once, wherever the optimizer moves the expression."""
     return F.transform(F.array(value), use)[0]
 
 
-def shingle_set(line: Column, k: int = SHINGLE) -> Column:
-    return let(_units(line), lambda u: F.array_distinct(F.transform(_places(u, k), lambda i: _shingle(u, i, k))))
+def shingle_set(units: Column, k: int = SHINGLE) -> Column:
+    """Different shingles of a line. Only the hashing is in a lambda: the rest is compiled, with
+    sets of longs that need no objects."""
+    last = lambda u: F.greatest(F.octet_length(u) - (2 * k - 1), F.lit(1))
+    return F.array_distinct(let(units, lambda u: F.transform(F.sequence(F.lit(1), last(u), F.lit(2)), lambda i: F.xxhash64(F.substring(u, i, F.lit(2 * k))))))
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -83,8 +82,14 @@ def band_cells(grid: int = GRID, classes: int = CLASSES) -> list[list[int]]:
     return out
 
 
+def _band_bits(count: int) -> int:
+    """Lowest bits of a band that tell which of a line's bands it is."""
+    return (count - 1).bit_length()
+
+
 def _lines(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.xxhash64("text").alias("hash"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    """Lines of the texts, which are not null. Outer, as the optimizer would split every text once more to ask for a size above 0."""
+    return docs.select("doc_id", F.xxhash64("text").alias("hash"), F.posexplode_outer(F.split("text", "\n")).alias("pos", "line"))
 
 
 def _key(line: Column) -> list[Column]:
@@ -94,7 +99,7 @@ def _key(line: Column) -> list[Column]:
 
 def _filled(line: Column) -> Column:
     """Whether a line has more than spaces, tabs, carriage returns, vertical tabs and form feeds."""
-    return F.trim(line, F.lit(BLANK)) != ""
+    return F.ltrim(line, F.lit(BLANK)) != ""  # up to the first other character; trim would also look for the end
 
 
 def signatures(docs: DataFrame, k: int = SHINGLE, grid: int = GRID, classes: int = CLASSES) -> DataFrame:
@@ -111,11 +116,13 @@ def signatures(docs: DataFrame, k: int = SHINGLE, grid: int = GRID, classes: int
     # some shingles at a time, as an update of the hash map costs more than a shingle; the last one fills up.
     # What a line has once is part of the key, or it would be updated too
     last = F.greatest((F.octet_length("u") / 2).cast("int") - (k - 1), F.lit(1))
-    s = s.select("*", last.alias("last")).select("*", F.explode(F.sequence(F.lit(1), F.col("last"), F.lit(TOGETHER))).alias("i"))
+    s = s.select("*", last.alias("last")).select("*", F.explode_outer(F.sequence(F.lit(1), F.col("last"), F.lit(TOGETHER))).alias("i"))
     some = [f"h{m}" for m in range(TOGETHER)]
     s = s.select("k1", "k2", *place, "copies", *(_shingle(F.col("u"), F.least(F.col("i") + m, F.col("last")), k).alias(h) for m, h in enumerate(some)))
     least = s.groupBy("k1", "k2", *place, "copies").agg(*(F.min(F.least(*(F.col(h).bitwiseXOR(F.lit(p)) for h in some))).alias(f"s{j}") for j, p in enumerate(_points(grid * grid))))
-    bands = F.array(*(F.xxhash64(F.lit(b), *(f"s{c}" for c in cells)) for b, cells in enumerate(band_cells(grid, classes))))
+    cells = band_cells(grid, classes)
+    bits = _band_bits(len(cells))
+    bands = F.array(*(F.shiftleft(F.xxhash64(F.lit(b), *(f"s{c}" for c in own)), bits) + F.lit(b) for b, own in enumerate(cells)))
     rank = F.shiftleft(1023 - F.least("copies", F.lit(1023)), ID_BITS)
     return stash(least.select((rank + F.monotonically_increasing_id()).alias("line_id"), "k1", "k2", F.struct(*place).alias("first"), "copies", bands.alias("bands")), "line-signatures")
 
@@ -132,17 +139,20 @@ def texts_of(wanted: DataFrame, lines: DataFrame, docs: DataFrame) -> DataFrame:
 
 def verify(pairs: DataFrame, text: DataFrame, k: int, threshold: float) -> DataFrame:
     """The pairs (u, v) of line_ids whose lines are similar enough."""
-    a = pairs.join(text.select(F.col("line_id").alias("u"), F.col("line").alias("a")), "u")
-    both = a.join(text.select(F.col("line_id").alias("v"), F.col("line").alias("b")), "v")
-    return both.where(jaccard(shingle_set(F.col("a"), k), shingle_set(F.col("b"), k)) >= threshold).select("u", "v")
+    a = pairs.join(text.select(F.col("line_id").alias("u"), _units(F.col("line")).alias("a")), "u")
+    both = a.join(text.select(F.col("line_id").alias("v"), _units(F.col("line")).alias("b")), "v")
+    # not let(): plain expressions are compiled, and what they have in common is computed once
+    x, y = shingle_set(F.col("a"), k), shingle_set(F.col("b"), k)
+    n = F.size(F.array_intersect(x, y))
+    return both.where(n / (F.size(x) + F.size(y) - n) >= threshold).select("u", "v")
 
 
 def sketches(text: DataFrame, k: int = SHINGLE, words: int = WORDS) -> DataFrame:
     """(line_id, n, w0, w1, ...: long): the number of different shingles of each line, and one
     bit of 64 * words set for each by its hash. Columns, not an array: the join on them then
     compiles to a few plain operations."""
-    s = text.select("line_id", shingle_set(F.col("line"), k).alias("s"))
-    s = s.select("line_id", F.size("s").alias("n"), F.explode("s").alias("h"))
+    s = text.select("line_id", _units(F.col("line")).alias("u")).select("line_id", shingle_set(F.col("u"), k).alias("s"))
+    s = s.select("line_id", F.size("s").alias("n"), F.explode_outer("s").alias("h"))  # never empty; see _lines
     at, bit = F.expr(f"cast(shiftright(h, 6) & {words - 1} AS int)"), F.expr("shiftleft(1L, cast(h & 63 AS int))")
     return s.groupBy("line_id", "n").agg(*(F.coalesce(F.bit_or(F.when(at == j, bit).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long")).alias(f"w{j}") for j in range(words)))
 
@@ -159,7 +169,7 @@ def across(members: DataFrame, sketch: DataFrame, threshold: float, words: int =
     they are no more than the sets' symmetric difference, which similarity t bounds by
     (1 - t) / (1 + t) of both sizes. What is left out is certain not to be a link.
     """
-    m = stash(members.join(sketch, "line_id"), "sketched-buckets")
+    m = stash(members.join(sketch, "line_id"), "sketched-buckets", dictionary=False)
     # a set number of tasks: by their bytes alone small tables would be one task, whatever the pairs
     m, stored = m.repartition(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), "band"), m
     a = m.select("band", F.col("root").alias("ra"), F.col("line_id").alias("x"), F.col("n").alias("na"), "nr", F.col("bands").alias("ba"), *(F.col(f"w{j}").alias(f"a{j}") for j in range(words)))
@@ -173,14 +183,25 @@ def across(members: DataFrame, sketch: DataFrame, threshold: float, words: int =
     return pairs
 
 
+def joined(roots: DataFrame, more: DataFrame) -> DataFrame:
+    """(line_id, root) after further links (u, v) between components: these are joined by their
+    roots, so that lines already in a component are not gone through again."""
+    named = lambda c: roots.select(F.col("line_id").alias(c), F.col("root").alias(f"r{c}"))
+    ends = more.join(named("u"), "u", "left").join(named("v"), "v", "left").select(F.coalesce("ru", "u").alias("u"), F.coalesce("rv", "v").alias("v"))
+    over = connected_components(ends, "line-cc-2").select(F.col("node").alias("line_id"), F.col("root").alias("over"))
+    moved = roots.join(over.withColumnRenamed("line_id", "root"), "root", "left").select("line_id", F.coalesce("over", "root").alias("root"))
+    return moved.union(over.join(roots, "line_id", "left_anti").select("line_id", F.col("over").alias("root")))
+
+
 def similar_lines(lines: DataFrame, docs: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
     """(line_id, root): lines in a component with another one, by the component's least line_id."""
     spark = lines.sparkSession
     n, count = int(spark.conf.get("spark.sql.shuffle.partitions")), len(band_cells())
     # one exchange for both uses, as both ask for the same columns
-    b = lines.select("line_id", F.posexplode("bands").alias("nr", "band")).repartition(n, "band")
-    stats = b.groupBy("band").agg(F.count("*").alias("n"), F.min("line_id").alias("hub"), F.min("nr").alias("low")).where("n > 1 AND low >= 0").drop("low")
-    live = stash(b.join(stats.hint("shuffle_hash"), "band").select("band", "nr", "line_id", "n", "hub"), "line-buckets")
+    b = lines.select("line_id", F.explode("bands").alias("band")).repartition(n, "band")
+    stats = b.groupBy("band").agg(F.count("*").alias("n"), F.min("line_id").alias("hub")).where("n > 1")
+    nr = F.col("band").bitwiseAND(F.lit((1 << _band_bits(count)) - 1)).cast("int").alias("nr")
+    live = stash(b.join(stats.hint("shuffle_hash"), "band").select("band", nr, "line_id", "n", "hub"), "line-buckets")
     release(spark)
     pairs = live.where("line_id <> hub").select(F.col("hub").alias("u"), F.col("line_id").alias("v")).distinct()
     text = texts_of(live.select("line_id"), lines, docs)
@@ -203,7 +224,7 @@ def similar_lines(lines: DataFrame, docs: DataFrame, k: int = SHINGLE, threshold
     release(spark)
     if more.isEmpty():
         return roots
-    return connected_components(links.union(more), "line-cc-2").select(F.col("node").alias("line_id"), "root")
+    return joined(roots, more)
 
 
 def removed_lines(docs: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:

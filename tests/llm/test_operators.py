@@ -311,3 +311,24 @@ def test_sketches_leave_out_no_similar_pair(spark):
     pairs = {(i, j) for j in range(len(lines)) for i in range(j)}
     similar = {(i, j) for i, j in pairs if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
     assert similar and similar <= found and len(found) < len(pairs)
+
+
+def test_a_band_tells_its_number_and_verified_pairs_are_exact(spark):
+    rng = random.Random(14)
+    lines = ["".join(rng.choices("ab ", k=rng.choice([3, 8, 9, 40]))) + "z" for _ in range(30)] + ["aaaaaaaa", "aaaaaaaaa", "é" * 12 + "😀ab", "é" * 12 + "😀abc"]
+    rows = line_dedup.signatures(docs(spark, [(1, "\n".join(lines))])).collect()
+    assert len(rows) == len(set(lines)) and all([b & 15 for b in r.bands] == list(range(16)) for r in rows)
+    units = [x.encode("utf-16-be") for x in lines]
+    sets = [{u[i : i + 16] for i in range(0, max(len(u) - 14, 1), 2)} for u in units]
+    pairs = [(i, j) for j in range(len(lines)) for i in range(j)]
+    text = spark.createDataFrame(list(enumerate(lines)), "line_id long, line string")
+    got = {tuple(r) for r in line_dedup.verify(spark.createDataFrame(pairs, "u long, v long"), text, 8, 0.3).collect()}
+    want = {(i, j) for i, j in pairs if len(sets[i] & sets[j]) >= 0.3 * len(sets[i] | sets[j])}
+    assert got == want and (30, 31) in want and (32, 33) in want
+
+
+def test_components_joined_by_later_links(spark):
+    roots = spark.createDataFrame([(1, 1), (2, 1), (5, 5), (6, 5), (7, 7), (8, 7)], "line_id long, root long")
+    more = spark.createDataFrame([(2, 6), (3, 8), (10, 11), (6, 2)], "u long, v long")
+    got = sorted(tuple(r) for r in line_dedup.joined(roots, more).collect())
+    assert got == [(1, 1), (2, 1), (3, 3), (5, 1), (6, 1), (7, 3), (8, 3), (10, 10), (11, 10)]
