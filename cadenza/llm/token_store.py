@@ -19,6 +19,7 @@ import uuid
 import zlib
 from array import array
 from bisect import bisect_left
+from codecs import charmap_decode
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,53 +34,68 @@ from .common import bit_filter, map_rows, may_hold, process_memory, shared_dir,
 END_ID = 0
 #: Ids in a chunk: the least, the most, and the bits of the hash that must be zero at a cut.
 LEAST, MOST, MASK_BITS, REACH = 64, 4096, 9, 16
-#: Words remembered by a worker process; beyond that the memory is emptied and filled anew.
-MEMORY = 1 << 20
+#: Words remembered by a worker process before those are set aside that were not used since the
+#: last time, and those set aside then are forgotten.
+MEMORY = 3 << 18
 #: Bits of the broadcast filter of keys that several tasks have (a power of two).
 FILTER_BITS = 1 << 24
+#: How chunks are written: hardly any of them is there twice, so dictionaries would be made in vain.
+PACKED = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1", "parquet.enable.dictionary": "false"}
 _MIX, _BASE = np.uint64(0x9E3779B97F4A7C15), 0xD6E8FEB86659FD93
 #: One space between two characters that are no white space: the tokenizer's own pattern always
 #: cuts before it, and never looks back, so both sides can be encoded apart.
 SPLIT = re.compile(r"(?<=\S) (?=\S)").split
 #: Where this occurs, a run of white space would be cut within; elsewhere each single space is such a place.
-RUN = re.compile(r"\s \s").search
+RUN = re.compile(r" (?<=\s )\s").search  # begins with a plain character, as these are found faster
 #: A word of Latin letters, then punctuation: the pattern cuts between the two, and nowhere else.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
 #: A line feed between two characters that are no white space is always cut off on both sides.
 LINE = re.compile(r"(?<=\S)\n(?=\S)").split
 
 
-def _alphabet() -> dict[int, str]:
-    """The byte-level alphabet: bytes that print stand for themselves, the others follow from 256 on."""
+def _alphabet() -> str:
+    """The byte-level alphabet, by byte: bytes that print stand for themselves, the others follow from 256 on."""
     prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in set(prints)]
-    return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(rest)}
+    found = {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(rest)}
+    return "".join(found[b] for b in range(256))
 
 
 class _Words(dict):
-    """Words to packed ids, as if a space (or, after LINE_MARK, a line feed) went before."""
+    """Words to packed ids, as if a space (or, after LINE_MARK, a line feed) went before.
+
+    Most words are seen once: so what is full is not emptied but set aside, and words that are
+    used again come back from there. No more than twice MEMORY words are held."""
 
     def __init__(self, coder: Coder):
         super().__init__()
+        self.older: dict[str, bytes] = {}
         self.coder, self.table, self.model = coder, _alphabet(), coder.library.model
         self.code = {array(c).itemsize: c for c in "HIL"}[coder.width]
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= MEMORY:
+            self.older = {**self}
             self.clear()
+        if (out := self.older.pop(word, None)) is not None:
+            self[word] = out
+            return out
         if word.isascii() and word.isalpha():
             self[word] = out = array(self.code, [t.id for t in self.model.tokenize("Ġ" + word)]).tobytes()
             return out
         head = word[:1] == LINE_MARK
         body = word[1:] if head else word
+        if head and body.isascii() and body.isalpha():
+            self[word] = out = array(self.code, [t.id for t in self.model.tokenize(body)]).tobytes()
+            return out
         lead = "" if head else " "
         if (m := PLAIN(body)) is not None:
             core, tail = m.groups()
             out = self[word[: len(word) - len(tail)]] + self[TAIL_MARK + tail] if tail else self.one(lead + core)
         elif body[:1] == TAIL_MARK:
             out = self.coder.pack([body[1:]])[0]
-        elif len(parts := LINE(body)) > 1:
-            out = self[word[:1] * head + parts[0]] + b"".join(self.coder.line + self[LINE_MARK + x] for x in parts[1:])
+        elif len(parts := LINE(body)) > 1:  # hardly ever seen again, so not remembered as a whole
+            return self[word[:1] * head + parts[0]] + b"".join([self.coder.line + self[LINE_MARK + x] for x in parts[1:]])
         else:
             out = self.coder.pack([lead + body])[0]
         self[word] = out
@@ -87,11 +103,15 @@ class _Words(dict):
 
     def one(self, piece: str) -> bytes:
         """A single piece of the pattern, by the library's model."""
-        return array(self.code, [t.id for t in self.model.tokenize(piece.encode().decode("latin1").translate(self.table))]).tobytes()
+        return array(self.code, [t.id for t in self.model.tokenize(charmap_decode(piece.encode(), "strict", self.table)[0])]).tobytes()
 
 
 #: Characters that are no characters of Unicode text, so they name other readings of a word.
 LINE_MARK, TAIL_MARK = "\ufdd0", "\ufdd1"
+#: A comma or full stop at the end of a word of Latin letters, and LINE's line feed, each made a word of its
+#: own: words are then known with all that may follow them. Both are cut off by the pattern wherever they match.
+STOP, STOPPED = re.compile(r"[,.](?<=[A-Za-zÀ-ÖØ-öø-ɏ].)(?=[ \n]\S|\Z)").sub, rf" {TAIL_MARK}\g<0>"
+FEED, FED = re.compile(r"\n(?<=\S\n)(?=\S)").sub, f" {TAIL_MARK}\n {LINE_MARK}"
 
 
 class Coder:
@@ -114,7 +134,7 @@ class Coder:
         pre = known.get("pre_tokenizer") or {}
         whole = not (pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not known.get("normalizer") and known["model"].get("type", "BPE") == "BPE" and not known["model"].get("dropout"))
         added = [t["content"] for t in known.get("added_tokens") or () if not (literal and t["special"])]
-        self.apart = re.compile("" if whole else "|".join([LINE_MARK, TAIL_MARK, *map(re.escape, added)])).search
+        self.apart = [""] if whole else [LINE_MARK, TAIL_MARK, *added]
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
         self.line = self.pack(["\n"])[0]
         self.words = _Words(self)
@@ -125,10 +145,10 @@ class Coder:
     def encode(self, texts: list[str]) -> list[bytes]:
         found, out = self.words.__getitem__, []
         for t in texts:
-            if self.apart(t):
+            if any([x in t for x in self.apart]):
                 out.append(self.pack([t])[0])
                 continue
-            first, *rest = SPLIT(t) if RUN(t) else t.split(" ")
+            first, *rest = SPLIT(t) if RUN(t) else FEED(FED, STOP(STOPPED, t)).split(" ")
             out.append(found(LINE_MARK + first) + b"".join(map(found, rest)))
         return out
 
@@ -152,9 +172,11 @@ def places(ids: np.ndarray, bits: int = MASK_BITS) -> np.ndarray:
     n = len(ids)
     x = (ids.astype(np.uint64) + np.uint64(1)) * _MIX
     x ^= x >> np.uint64(29)
-    h = np.zeros(n, np.uint64)
-    for j, p in enumerate(_powers(REACH - 1)[:n]):
-        h[j:] += x[: n - j] * p
+    h, j, p = x, 1, _powers(REACH)
+    while j < REACH:  # a power of two: the hash of 2 * j ids is made of those of j
+        x, h = h, h.copy()
+        h[j:] += x[: max(n - j, 0)] * p[j]
+        j *= 2
     return np.flatnonzero((h >> np.uint64(64 - bits)) == 0) + 1
 
 
@@ -259,7 +281,7 @@ def write_store(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int =
         coder, sent = _coder(spec.value, literal), set()
         for b in batches:
             keys_of, blobs_of, counts = [], [], []
-            if len(sent) > MEMORY:
+            if len(sent) > 1 << 20:
                 sent.clear()
             coded = [ids + end for ids in coder.encode([t or "" for t in b.column(1).to_pylist()])]
             found = places(np.frombuffer(b"".join(coded), f"<u{width}")).tolist()
@@ -280,7 +302,7 @@ def write_store(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int =
 
     small_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    coded = stash(rows.mapInArrow(run, "doc_id long, n_tokens long, keys array<binary>, blobs array<binary>"), "token-chunks", "zstd")
+    coded = stash(rows.mapInArrow(run, "doc_id long, n_tokens long, keys array<binary>, blobs array<binary>"), "token-chunks", dictionary=False)
     pieces = coded.select(F.explode(F.arrays_zip("keys", "blobs")).alias("c")).where("c.blobs IS NOT NULL").select(F.col("c.keys").alias("key"), F.col("c.blobs").alias("ids"))
     twice = coded.select(F.explode(F.arrays_zip("keys", F.transform("blobs", lambda x: x.isNotNull()).alias("here"))).alias("c")).where("c.here").groupBy(F.col("c.keys").alias("k")).agg(F.count("*").alias("n")).where("n > 1")
     held = spark.sparkContext.broadcast(bit_filter(twice.select(F.xxhash64("k").alias("key")), bits))
@@ -290,8 +312,8 @@ def write_store(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int =
         return pd.Series(may_hold(held.value, h.to_numpy(np.int64).view(np.uint64)))
 
     marked = pieces.withColumn("shared", shared(F.xxhash64("key")))
-    marked.where("NOT shared").select("key", "ids").write.option("compression", "zstd").parquet(f"{folder}/chunks")
-    marked.where("shared").select("key", "ids").dropDuplicates(["key"]).write.mode("append").option("compression", "zstd").parquet(f"{folder}/chunks")
+    marked.where("NOT shared").select("key", "ids").write.options(**PACKED).parquet(f"{folder}/chunks")
+    marked.where("shared").select("key", "ids").dropDuplicates(["key"]).write.mode("append").options(**PACKED).parquet(f"{folder}/chunks")
 
     def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, start = TaskContext.get().partitionId(), 0
