@@ -193,15 +193,24 @@ def joined(roots: DataFrame, more: DataFrame) -> DataFrame:
     return moved.union(over.join(roots, "line_id", "left_anti").select("line_id", F.col("over").alias("root")))
 
 
+def shared_bands(b: DataFrame) -> DataFrame:
+    """The rows (band, line_id) of b whose band another line has, too. Most bands have one line: that is seen
+    sooner by looking for another one than by counting all bands in two hash maps. One exchange serves
+    both sides, as long as neither is dealt out by repartition()."""
+    other = b.alias("other").hint("shuffle_hash")
+    return b.alias("own").join(other, F.expr("own.band = other.band AND own.line_id <> other.line_id"), "left_semi").select("own.band", "own.line_id")
+
+
 def similar_lines(lines: DataFrame, docs: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
     """(line_id, root): lines in a component with another one, by the component's least line_id."""
     spark = lines.sparkSession
-    n, count = int(spark.conf.get("spark.sql.shuffle.partitions")), len(band_cells())
-    # one exchange for both uses, as both ask for the same columns
-    b = lines.select("line_id", F.explode("bands").alias("band")).repartition(n, "band")
-    stats = b.groupBy("band").agg(F.count("*").alias("n"), F.min("line_id").alias("hub")).where("n > 1")
+    count = len(band_cells())
+    shared = stash(shared_bands(lines.select("line_id", F.explode("bands").alias("band"))), "shared-bands")
+    release(spark)
+    stats = shared.groupBy("band").agg(F.count("*").alias("n"), F.min("line_id").alias("hub"))
     nr = F.col("band").bitwiseAND(F.lit((1 << _band_bits(count)) - 1)).cast("int").alias("nr")
-    live = stash(b.join(stats.hint("shuffle_hash"), "band").select("band", nr, "line_id", "n", "hub"), "line-buckets")
+    live = stash(shared.join(stats.hint("shuffle_hash"), "band").select("band", nr, "line_id", "n", "hub"), "line-buckets")
+    unstash(shared)
     release(spark)
     pairs = live.where("line_id <> hub").select(F.col("hub").alias("u"), F.col("line_id").alias("v")).distinct()
     text = texts_of(live.select("line_id"), lines, docs)
