@@ -72,6 +72,15 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def one_file_shuffles(spark: SparkSession) -> None:
+    """Let every task of a shuffle write one file, which Spark does only for more partitions than
+    this threshold: up to it a task opens a file and a compressor for each partition, and for the
+    rows of one task that costs more than the rows. Small numbers of partitions stay as they are."""
+    most = int(spark.conf.get("spark.shuffle.sort.bypassMergeThreshold", "200"))
+    if most // 2 < int(spark.conf.get("spark.sql.shuffle.partitions")) <= most:
+        spark.conf.set("spark.sql.shuffle.partitions", str(most + 1))
+
+
 def map_rows(df: DataFrame, schema: str, fn: Callable[[dict[str, list]], dict[str, object]]) -> DataFrame:
     """mapInArrow over column lists: fn gets and returns a dict of columns of one batch."""
     from pyspark.sql.pandas.types import to_arrow_schema

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import connected_components, release, stash, unstash
+from .common import connected_components, one_file_shuffles, release, stash, unstash
 
 SHINGLE, THRESHOLD = 8, 0.8
 #: Least elements in a signature, as a square of GRID x GRID; bands are its rows, columns and
@@ -124,7 +124,7 @@ def signatures(docs: DataFrame, k: int = SHINGLE, grid: int = GRID, classes: int
     bits = _band_bits(len(cells))
     bands = F.array(*(F.shiftleft(F.xxhash64(F.lit(b), *(f"s{c}" for c in own)), bits) + F.lit(b) for b, own in enumerate(cells)))
     rank = F.shiftleft(1023 - F.least("copies", F.lit(1023)), ID_BITS)
-    return stash(least.select((rank + F.monotonically_increasing_id()).alias("line_id"), "k1", "k2", F.struct(*place).alias("first"), "copies", bands.alias("bands")), "line-signatures")
+    return stash(least.select((rank + F.monotonically_increasing_id()).alias("line_id"), "k1", "k2", F.struct(*place).alias("first"), "copies", bands.alias("bands")), "line-signatures", dictionary=False)
 
 
 def texts_of(wanted: DataFrame, lines: DataFrame, docs: DataFrame) -> DataFrame:
@@ -267,6 +267,7 @@ def dedup_lines(docs: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD)
     one blank line. Equal rows are one document: they keep the same lines. A document all
     of whose lines go stays with an empty text.
     """
+    one_file_shuffles(docs.sparkSession)
     gone = removed_lines(docs, k, threshold)
     gone = gone.select(F.col("doc_id").alias("__d"), F.col("hash").alias("__h"), F.col("removed").alias("__gone"))
     base = docs.drop("n_lines", "n_removed").withColumn("__t", F.xxhash64("text"))
