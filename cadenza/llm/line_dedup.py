@@ -60,11 +60,15 @@ def let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def shingle_set(units: Column, k: int = SHINGLE) -> Column:
-    """Different shingles of a line. Only the hashing is in a lambda: the rest is compiled, with
-    sets of longs that need no objects."""
+def shingles(units: Column, k: int = SHINGLE) -> Column:
+    """Shingles of a line, repeats included. Only the hashing is in a lambda."""
     last = lambda u: F.greatest(F.octet_length(u) - (2 * k - 1), F.lit(1))
-    return F.array_distinct(let(units, lambda u: F.transform(F.sequence(F.lit(1), last(u), F.lit(2)), lambda i: F.xxhash64(F.substring(u, i, F.lit(2 * k))))))
+    return let(units, lambda u: F.transform(F.sequence(F.lit(1), last(u), F.lit(2)), lambda i: F.xxhash64(F.substring(u, i, F.lit(2 * k)))))
+
+
+def shingle_set(units: Column, k: int = SHINGLE) -> Column:
+    """Different shingles of a line: compiled, with sets of longs that need no objects."""
+    return F.array_distinct(shingles(units, k))
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -88,8 +92,9 @@ def _band_bits(count: int) -> int:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """Lines of the texts, which are not null. Outer, as the optimizer would split every text once more to ask for a size above 0."""
-    return docs.select("doc_id", F.xxhash64("text").alias("hash"), F.posexplode_outer(F.split("text", "\n")).alias("pos", "line"))
+    """Lines of the texts, which are not null. Outer, as the optimizer would split every text once more to ask for a size above 0.
+    The hash is a step of its own: what stands beside an explode is computed for every row that it makes."""
+    return docs.select("doc_id", F.xxhash64("text").alias("hash"), "text").select("doc_id", "hash", F.posexplode_outer(F.split("text", "\n")).alias("pos", "line"))
 
 
 def _key(line: Column) -> list[Column]:
@@ -142,9 +147,8 @@ def verify(pairs: DataFrame, text: DataFrame, k: int, threshold: float) -> DataF
     a = pairs.join(text.select(F.col("line_id").alias("u"), _units(F.col("line")).alias("a")), "u")
     both = a.join(text.select(F.col("line_id").alias("v"), _units(F.col("line")).alias("b")), "v")
     # not let(): plain expressions are compiled, and what they have in common is computed once
-    x, y = shingle_set(F.col("a"), k), shingle_set(F.col("b"), k)
-    n = F.size(F.array_intersect(x, y))
-    return both.where(n / (F.size(x) + F.size(y) - n) >= threshold).select("u", "v")
+    x, y = shingles(F.col("a"), k), shingles(F.col("b"), k)  # both array functions leave repeats out
+    return both.where(F.size(F.array_intersect(x, y)) / F.size(F.array_union(x, y)) >= threshold).select("u", "v")
 
 
 def sketches(text: DataFrame, k: int = SHINGLE, words: int = WORDS) -> DataFrame:
@@ -272,9 +276,9 @@ def dedup_lines(docs: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD)
     gone = gone.select(F.col("doc_id").alias("__d"), F.col("hash").alias("__h"), F.col("removed").alias("__gone"))
     base = docs.drop("n_lines", "n_removed").withColumn("__t", F.xxhash64("text"))
     out = base.join(gone.hint("shuffle_hash"), base["doc_id"].eqNullSafe(gone["__d"]) & (base["__t"] == gone["__h"]), "left")
-    parts = F.split("text", "\n")
+    out, parts = out.withColumn("__parts", F.split("text", "\n")), F.col("__parts")  # a step of its own: split once
     left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__gone"))
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(let(parts, lambda p: F.array_join(F.transform(left, lambda i: F.get(p, i)), "\n")))
+    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(parts, i)), "\n"))
     cols = [text.alias("text") if c == "text" else F.col(c) for c in docs.columns if c not in ("n_lines", "n_removed")]
     n = F.when(F.col("text").isNull(), 0).otherwise(F.size(parts))
     return out.select(*cols, n.cast("long").alias("n_lines"), F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_removed"))
