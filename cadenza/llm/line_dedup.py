@@ -161,13 +161,11 @@ def verify(pairs: DataFrame, text: DataFrame, k: int, threshold: float) -> DataF
 
 
 def sketches(text: DataFrame, k: int = SHINGLE, words: int = WORDS) -> DataFrame:
-    """(line_id, n, w0, w1, ...: long): the number of shingles of each line, repeats included, and one
+    """(line_id, n, w0, w1, ...: long): the number of different shingles of each line, and one
     bit of 64 * words set for each by its hash. Columns, not an array: the join on them then
     compiles to a few plain operations."""
-    s = text.select("line_id", _units(F.col("line")).alias("u"))
-    s = s.select("line_id", F.greatest((F.octet_length("u") / 2).cast("int") - (k - 1), F.lit(1)).alias("n"), "u")
-    s = s.select("line_id", "n", "u", F.explode_outer(F.sequence(F.lit(1), F.col("n"))).alias("i"))  # never empty; see _lines
-    s = s.select("line_id", "n", _shingle(F.col("u"), F.col("i"), k).alias("h"))
+    s = text.select("line_id", _units(F.col("line")).alias("u")).select("line_id", shingle_set(F.col("u"), k).alias("s"))
+    s = s.select("line_id", F.size("s").alias("n"), F.explode_outer("s").alias("h"))  # never empty; see _lines
     at, bit = F.expr(f"cast(shiftright(h, 6) & {words - 1} AS int)"), F.expr("shiftleft(1L, cast(h & 63 AS int))")
     return s.groupBy("line_id", "n").agg(*(F.coalesce(F.bit_or(F.when(at == j, bit).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long")).alias(f"w{j}") for j in range(words)))
 
@@ -182,18 +180,16 @@ def across(members: DataFrame, sketch: DataFrame, threshold: float, words: int =
 
     Bits in which two sketches differ each stand for a shingle that only one line has, so
     they are no more than the sets' symmetric difference, which similarity t bounds by
-    (1 - t) / (1 + t) of both sizes. What is left out is certain not to be a link. The sizes may
-    count repeats; the numbers of bits set differ by no more than the bits do.
+    (1 - t) / (1 + t) of both sizes. What is left out is certain not to be a link.
     """
-    ones = F.expr(" + ".join(f"bit_count(w{j})" for j in range(words)))
-    m = stash(members.join(sketch.withColumn("c", ones), "line_id"), "sketched-buckets", dictionary=False)
+    m = stash(members.join(sketch, "line_id"), "sketched-buckets", dictionary=False)
     # a set number of tasks: by their bytes alone small tables would be one task, whatever the pairs
     m, stored = m.repartition(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), "band"), m
-    a = m.select("band", F.col("root").alias("ra"), F.col("line_id").alias("x"), F.col("n").alias("na"), F.col("c").alias("ca"), "nr", F.col("bands").alias("ba"), *(F.col(f"w{j}").alias(f"a{j}") for j in range(words)))
-    b = m.select("band", F.col("root").alias("rb"), F.col("line_id").alias("y"), F.col("n").alias("nb"), F.col("c").alias("cb"), F.col("bands").alias("bb"), *(F.col(f"w{j}").alias(f"b{j}") for j in range(words)))
+    a = m.select("band", F.col("root").alias("ra"), F.col("line_id").alias("x"), F.col("n").alias("na"), "nr", F.col("bands").alias("ba"), *(F.col(f"w{j}").alias(f"a{j}") for j in range(words)))
+    b = m.select("band", F.col("root").alias("rb"), F.col("line_id").alias("y"), F.col("n").alias("nb"), F.col("bands").alias("bb"), *(F.col(f"w{j}").alias(f"b{j}") for j in range(words)))
     most = f"{1 - threshold}D * (na + nb) + 0.000001D"
     differ = " + ".join(f"bit_count(a{j} ^ b{j})" for j in range(words))
-    both = a.join(b, (a["band"] == b["band"]) & F.expr(f"ra < rb AND {1 + threshold}D * abs(ca - cb) <= {most} AND {1 + threshold}D * ({differ}) <= {most} AND {first_shared}"))
+    both = a.join(b, (a["band"] == b["band"]) & F.expr(f"ra < rb AND {1 + threshold}D * abs(na - nb) <= {most} AND {1 + threshold}D * ({differ}) <= {most} AND {first_shared}"))
     pairs = stash(both.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")), "cross-pairs")
     unstash(stored)
     release(members.sparkSession)
@@ -263,11 +259,11 @@ def removed_lines(docs: DataFrame, k: int = SHINGLE, threshold: float = THRESHOL
     roots, met = similar_lines(lines, docs, k, threshold)
     release(docs.sparkSession)
     # lines of one copy matter in components only, so the others of them need not be dealt out
-    some = lines.drop("bands").where("copies > 1").union(met.where("copies = 1").select(*lines.drop("bands").columns))
+    some = stash(lines.drop("bands").where("copies > 1").union(met.where("copies = 1").select(*lines.drop("bands").columns)), "some-lines")
     named = some.join(roots.hint("shuffle_hash"), "line_id", "left").where("copies > 1 OR root IS NOT NULL").withColumn("root", F.coalesce("root", "line_id"))
     firsts = named.groupBy("root").agg(F.min("first").alias("kept"), F.sum("copies").alias("all")).where("all > 1")
     marks = stash(named.join(firsts, "root").select("k1", "k2", F.col("kept.doc_id").alias("kd"), F.col("kept.hash").alias("kh"), F.col("kept.pos").alias("kp")), "line-marks")
-    unstash(lines, met)
+    unstash(lines, met, some)
     release(docs.sparkSession)
     here = _lines(docs).where(_filled(F.col("line"))).select("doc_id", "hash", "pos", *_key(F.col("line")))
     gone = here.join(marks.hint("shuffle_hash"), ["k1", "k2"]).where(~(F.col("doc_id").eqNullSafe(F.col("kd")) & (F.col("hash") == F.col("kh")) & (F.col("pos") == F.col("kp"))))
